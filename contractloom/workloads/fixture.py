@@ -246,3 +246,66 @@ def render_lines(spark: SparkSession, sf_dir: str, *, extended: bool = True) ->
 def position_lines(spark: SparkSession, sf_dir: str, *, extended: bool = True) -> DataFrame:
     """The rendered lines as a written table: what a query reads in place of the files."""
     return written(render_lines(spark, sf_dir, extended=extended), "position-lines")
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One response per order: success when k % 3 = 0, else a failure with an error list.
+
+    The list is JSON with one or two errors, and for some keys plain text, an
+    empty list, a JSON object or null.
+    """
+    k = F.col("o_orderkey")
+    codes = F.array(*(F.lit(c) for c in RESPONSE_CODES))
+    n = len(RESPONSE_CODES)
+
+    def error(i: Column) -> Column:
+        code = F.get(codes, (i % n).cast("int"))
+        return F.concat(F.lit('{"ResultInfoCode": "'), code, F.lit('", "ResultInfoDesc": "about '),
+                        code, F.lit(' in row '), (k % 5).cast("string"), F.lit('"}'))
+
+    one = F.concat(F.lit("["), error(k), F.lit("]"))
+    two = F.concat(F.lit("["), error(k), F.lit(", "), error(k + 3), F.lit("]"))
+    text = (
+        F.when(k % 41 == 0, None)
+        .when(k % 37 == 0, "[]")
+        .when(k % 29 == 0, "300-System is not available at this time, please try again later")
+        .when(k % 23 == 0, '{"ResultInfoCode": "2027"}')
+        .when(k % 2 == 0, two)
+        .otherwise(one)
+    )
+    types = F.array(*(F.lit(t) for t in WITHDRAWAL_TYPES))
+    ok = k % 3 == 0
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("00"), F.lpad(k.cast("string"), 10, "0")).alias("Policy_Number"),
+        F.get(types, (k % len(WITHDRAWAL_TYPES)).cast("int")).alias("Withdrawal_Type"),
+        F.when(ok, "Success").otherwise("Failure").alias("Status"),
+        F.when(ok & (k % 6 == 0), "2").when(ok, "1").otherwise("5").alias("Result_code"),
+        F.when(~ok, text).alias("Error_Descriptions"),
+    )
+
+
+RESPONSE_CODES = (
+    "2109-None", "100-F058", "100-A687", "1004900735-X173", "2028-ET38", "1004903053", "300-System",
+    "3013-None", "2027", "100-BA11", "WDS3", "A452", "E487",
+)
+WITHDRAWAL_TYPES = ("RMD", "Rider Free", "Interest Only", "Surrender Free", "Partial Withdrawal")
+
+
+def break_requests(requests: DataFrame) -> DataFrame:
+    """Requests with one column broken per policy, by the digits at the end of its number."""
+    k = F.right("PolNumber", F.lit(6)).cast("bigint")
+    broken = {
+        "PolNumber": F.when(k % 23 == 0, F.concat("PolNumber", F.lit("#"))).otherwise(F.col("PolNumber")),
+        "TransRefGUID": F.when(k % 29 == 0, "short").otherwise(F.col("TransRefGUID")),
+        "ArrMode_tc": F.when(k % 31 == 0, "").otherwise(F.col("ArrMode_tc")),
+        "ArrMode_text": F.when(k % 37 == 0, "A mode text that is far too long for it").otherwise(
+            F.col("ArrMode_text")),
+        "TransType_tc": F.when(k % 41 == 0, "213").otherwise(F.col("TransType_tc")),
+        "ModalAmt": F.when(k % 43 == 0, "").otherwise(F.col("ModalAmt")),
+        "TaxState_Place_tc": F.when(k % 47 == 0, "3").otherwise(F.col("TaxState_Place_tc")),
+        "Party_Carrier_id": F.when(k % 53 == 0, "").otherwise(F.col("Party_Carrier_id")),
+        "Relation_Owner_id": F.when(k % 59 == 0, "Other").otherwise(F.col("Relation_Owner_id")),
+        "ExpectedToPass": F.when(k % 23 == 0, "0").otherwise("1"),
+        "FailureReason": F.when(k % 23 == 0, "bad number").otherwise(""),
+    }
+    return requests.withColumns(broken)

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from contractloom.functions.text import strip
+from contractloom.functions.text import WHITESPACE, strip
 from contractloom.spec.layouts import EXTENSION_FIELDS, LAYOUTS, Field, extension_field
 
 
@@ -28,6 +28,12 @@ def cut(line: Column, field: Field) -> Column:
     return strip(F.substring(line, field.start, field.width))
 
 
+def cut_sql(line: str, field: Field) -> str:
+    """``cut`` of a column by name, as SQL text."""
+    blanks = "".join(f"\\u{ord(c):04x}" for c in WHITESPACE)
+    return f"btrim(trim(substring(`{line}`, {field.start}, {field.width})), '{blanks}')"
+
+
 def field_of(line: Column, record_type: str, name: str) -> Column:
     return cut(line, LAYOUTS[record_type].field(name))
 

@@ -193,9 +193,6 @@ def facts_from_records(records: DataFrame) -> DataFrame:
     def when(record_type: str, value: Column) -> Column:
         return F.when(t == record_type, value)
 
-    composite = field_of(raw, "1309", "Party_Non_Natural_Entity_Name")
-    last_name = field_of(raw, "1309", "Party_Last_Name")
-    pairs = _value_pairs(raw)
     header = F.struct(
         field_of(raw, "1301", "CUSIP_Number").alias("cusip"),
         field_of(raw, "1301", "Contract_Status").alias("status"),
@@ -206,18 +203,35 @@ def facts_from_records(records: DataFrame) -> DataFrame:
         field_of(raw, "1305", "Agent_Non_Natural_Name").alias("name"),
         field_of(raw, "1305", "Agent_Last_Name").alias("last_name"),
     )
-    narrow = detail_records(records).select(
-        "file", "contract", "line_no",
+    # Values that are used more than once become columns first.
+    cut_out = detail_records(records).select(
+        "file", "contract", "line_no", "record_type",
         when("1301", header).alias("header"),
         when("1301", contra_of(raw)).alias("contra"),
         when("1305", agent).alias("agent"),
-        *(when("1302", greatest_amount(pairs, q)).alias(n) for n, q in QUALIFIERS.items()),
-        when("1302", greatest_value([a for a, _ in pairs])).alias("total_value"),
         when("1315", _rider_flag(raw)).alias("rider"),
-        when("1309", party_of(composite, last_name, OWNER_ROLES)).alias("owner"),
-        when("1309", party_of(composite, last_name, ANNUITANT_ROLES)).alias("annuitant"),
-        when("1309", party_id_of(last_name, OWNER_ROLES)).alias("owner_id"),
-        when("1309", party_id_of(last_name, ANNUITANT_ROLES)).alias("annuitant_id"),
+        *(when("1302", to_number(a)).alias(f"amount_{i}")
+          for i, (a, _) in enumerate(_value_pairs(raw))),
+        *(when("1302", q).alias(f"qualifier_{i}") for i, (_, q) in enumerate(_value_pairs(raw))),
+        when("1309", field_of(raw, "1309", "Party_Non_Natural_Entity_Name")).alias("composite"),
+        when("1309", field_of(raw, "1309", "Party_Last_Name")).alias("last_name"),
+    )
+    amounts = [F.col(f"amount_{i}") for i in range(len(VALUE_PAIRS))]
+
+    def largest(code: str) -> Column:
+        return F.greatest(*(
+            F.when((F.col(f"qualifier_{i}") == code) & (a > 0), a) for i, a in enumerate(amounts)
+        ))
+
+    composite, last_name = F.col("composite"), F.col("last_name")
+    narrow = cut_out.select(
+        "file", "contract", "line_no", "header", "contra", "agent", "rider",
+        *(largest(q).alias(n) for n, q in QUALIFIERS.items()),
+        F.greatest(*amounts).alias("total_value"),
+        party_of(composite, last_name, OWNER_ROLES).alias("owner"),
+        party_of(composite, last_name, ANNUITANT_ROLES).alias("annuitant"),
+        party_id_of(last_name, OWNER_ROLES).alias("owner_id"),
+        party_id_of(last_name, ANNUITANT_ROLES).alias("annuitant_id"),
     )
 
     def present(name: str) -> Column:
@@ -229,7 +243,7 @@ def facts_from_records(records: DataFrame) -> DataFrame:
         F.max_by("contra", present("contra")).alias("contra"),
         F.min_by("agent", present("agent")).alias("agent"),
         *(F.max(n).alias(n) for n in QUALIFIERS),
-        F.coalesce(F.max("total_value"), F.lit(0.0)).alias("total_value"),
+        F.greatest(F.max("total_value"), F.lit(0.0)).alias("total_value"),
         F.coalesce(F.bool_or("rider"), F.lit(False)).alias("rider"),
         _first_party(F.col("owner"), line_no).alias("owner"),
         _first_party(F.col("annuitant"), line_no).alias("annuitant"),

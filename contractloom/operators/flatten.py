@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contractloom.functions.lines import cut
+from contractloom.functions.lines import cut_sql
 from contractloom.operators.records import occurrence_limits
 from contractloom.sources.fixed_width import detail_records
 from contractloom.spec.layouts import LAYOUTS, Field
@@ -95,11 +95,12 @@ def flatten(records: DataFrame, limits: dict[str, int] | None = None, *,
         ),
     )
 
-    def cell(c: WideColumn):
-        line = F.col(f"one_{c.record_type}" + (f"_{c.slot}" if c.slot else ""))
-        return F.coalesce(cut(line, c.field), F.lit("")).alias(c.name)
+    # Hundreds of columns: SQL text is read in one call each.
+    def cell(c: WideColumn) -> str:
+        line = f"one_{c.record_type}" + (f"_{c.slot}" if c.slot else "")
+        return f"coalesce({cut_sql(line, c.field)}, '') AS `{c.name}`"
 
-    return slots.select("file", "first_line", "Contract_Number", *(cell(c) for c in columns))
+    return slots.selectExpr("file", "first_line", "Contract_Number", *(cell(c) for c in columns))
 
 
 def union_files(wides: list[DataFrame]) -> DataFrame:

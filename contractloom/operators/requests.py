@@ -17,6 +17,7 @@ from contractloom.functions.text import (
     strip_suffix,
     to_number,
 )
+from contractloom.operators.fence import fence
 from contractloom.spec.dictionary import (
     COLUMNS,
     MESSAGE,
@@ -268,7 +269,7 @@ def enrich_failures(validation: DataFrame) -> DataFrame:
     reasons = F.array_compact(F.array(*(F.when(bad, F.lit(label)) for bad, label, _ in found)))
     codes = F.array_sort(F.array_distinct(F.array_compact(
         F.array(*(F.when(bad, F.lit(code)) for bad, _, code in found)))))
-    return (
+    return fence(
         validation
         .withColumn("Failure_Reasons", F.array_join(reasons, "; "))
         .withColumn("Predicted_Error_Codes", F.array_join(codes, "; "))

@@ -25,7 +25,7 @@ from contractloom.sources import fixed_width, tables
 from contractloom.spec.dictionary import DICTIONARY, dictionary_frame
 from contractloom.spec.layouts import layout_frame
 from contractloom.workloads import fixture
-from contractloom.workloads.shared import fresh_path
+from contractloom.workloads.shared import fresh_path, written
 
 RUN_TS = "2026-03-31 12:00:00"
 DISTRIBUTOR = "0015"
@@ -56,8 +56,10 @@ def _quotes(spark: SparkSession, sf: str) -> pipeline.Quotes:
     return pipeline.quote_requests(_facts(spark, sf), run_ts=RUN_TS)
 
 
+@lru_cache(maxsize=16)
 def _broken(spark: SparkSession, sf: str) -> DataFrame:
-    return fixture.break_requests(_quotes(spark, sf).requests)
+    """Broken requests as a written table: the request file that documents are made from."""
+    return written(fixture.break_requests(_quotes(spark, sf).requests), "requests")
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,10 +71,17 @@ def _limits(spark: SparkSession, sf: str) -> tuple[tuple[str, int], ...]:
     return tuple(records.occurrence_limits(_records(spark, sf)).items())
 
 
+@lru_cache(maxsize=16)
 def _wide(spark: SparkSession, sf: str) -> DataFrame:
     return flatten.flatten(_records(spark, sf), dict(_limits(spark, sf)))
 
 
+@lru_cache(maxsize=16)
+def _wide_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide rows as a written table: what is reconciled and explored."""
+    return written(_wide(spark, sf), "wide")
+
+
 def _field(record_type: str, name: str) -> Column:
     return line_fn.field_of(F.col("raw"), record_type, name)
 
@@ -217,7 +226,7 @@ def union_files(spark, sf):
 # --- Reconciliation -------------------------------------------------------
 
 def _mismatches(spark, sf):
-    return reconcile.mismatches(_records(spark, sf), _wide(spark, sf), dict(_limits(spark, sf)))
+    return reconcile.mismatches(_records(spark, sf), _wide_table(spark, sf), dict(_limits(spark, sf)))
 
 
 @query
@@ -228,7 +237,7 @@ def reconcile_mismatches(spark, sf):
 @query
 def reconcile_report(spark, sf):
     return reconcile.report(
-        _records(spark, sf), _wide(spark, sf), dict(_limits(spark, sf))
+        _records(spark, sf), _wide_table(spark, sf), dict(_limits(spark, sf))
     ).withColumn("errors", F.array_join("errors", "; "))
 
 
@@ -352,7 +361,7 @@ def dedup_contracts(spark, sf):
 @query
 def resolve_column(spark, sf):
     """Facts read from the wide columns, whatever their suffix."""
-    facts = contracts.facts_from_wide(_wide(spark, sf), contracts.contra_lookup(_lines(spark, sf)))
+    facts = contracts.facts_from_wide(_wide_table(spark, sf), contracts.contra_lookup(_lines(spark, sf)))
     return facts.select("file", "contract", "cusip", "account", "state", "agent_last_name",
                         "contra", "ra_amount", "sc_amount", "tw_amount", "total_value", "rider",
                         F.col("owner.last").alias("owner_last"), "owner_fallback_id")
@@ -472,7 +481,7 @@ def missing_provenance(spark, sf):
 
 @query
 def field_preview(spark, sf):
-    return requests.field_preview(_wide(spark, sf))
+    return requests.field_preview(_wide_table(spark, sf)).filter("sample is not null")
 
 
 @query
@@ -537,12 +546,18 @@ def rule_all_fields(spark, sf):
 
 @query
 def render_xml(spark, sf):
-    """Whole documents by their digest, with one element cut out."""
+    """Whole documents: their lines, and a few elements cut out."""
     made = documents.render_documents(_quotes(spark, sf).requests)
     return made.select(
-        "pol_number", "filename", F.length("xml").alias("characters"),
+        "pol_number", "filename",
         F.regexp_extract("xml", "<ns3:PolNumber>(.*)</ns3:PolNumber>", 1).alias("policy_element"),
         F.regexp_extract("xml", "<ModalAmt>(.*)</ModalAmt>", 1).alias("modal_element"),
+        F.regexp_extract(
+            "xml", "<ns3:DistributorClientAcctNum>(.*)</ns3:DistributorClientAcctNum>", 1
+        ).alias("account_element"),
+        F.nullif(F.regexp_extract(
+            "xml", '(?s)<ns3:Party id="Party_PrimaryOwner">.*?<ns3:LastName>((OWNER|TRUST)[0-9]+)<', 1
+        ), F.lit("")).alias("owner_element"),
         F.size(F.split("xml", "\n")).alias("lines"),
     )
 

@@ -59,7 +59,7 @@ def _quotes(spark: SparkSession, sf: str) -> pipeline.Quotes:
 @lru_cache(maxsize=16)
 def _broken(spark: SparkSession, sf: str) -> DataFrame:
     """Broken requests as a written table: the request file that documents are made from."""
-    return written(fixture.break_requests(_quotes(spark, sf).requests), "requests")
+    return written(fixture.break_requests(_quotes(spark, sf).requests), "requests", "PolNumber")
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -79,7 +79,7 @@ def _wide(spark: SparkSession, sf: str) -> DataFrame:
 @lru_cache(maxsize=16)
 def _wide_table(spark: SparkSession, sf: str) -> DataFrame:
     """The wide rows as a written table: what is reconciled and explored."""
-    return written(_wide(spark, sf), "wide")
+    return written(_wide(spark, sf), "wide", "Contract_Number")
 
 
 def _field(record_type: str, name: str) -> Column:
@@ -231,7 +231,7 @@ def _mismatches(spark, sf):
 
 @query
 def reconcile_mismatches(spark, sf):
-    return _mismatches(spark, sf)
+    return _mismatches(spark, sf).withColumn("occurrence", F.col("occurrence").cast("string"))
 
 
 @query
@@ -243,7 +243,7 @@ def reconcile_report(spark, sf):
 
 @query
 def top_mismatches(spark, sf):
-    return reconcile.top_mismatches(_mismatches(spark, sf), 50)
+    return reconcile.top_mismatches(_mismatches(spark, sf), 50).drop("occurrence")
 
 
 # --- Scalar functions on base columns ------------------------------------

@@ -207,3 +207,21 @@ def test_facts_to_documents(spark, sf):
     failing = documents.validate_documents(documents.render_documents(quotes.requests)).filter("not valid")
     assert quotes.requests.count() > 0 and failing.count() == 0
     assert contracts.withdrawal_distribution(quotes.classified).count() == 5
+
+
+def test_request_table_in_a_database(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE contractloom_test LOCATION '{tmp_path / 'db'}'")
+    try:
+        for _ in range(2):
+            name = tables.create_request_table(spark, "requests", "contractloom_test")
+        table = tables.read_table(spark, "requests", "contractloom_test")
+        assert name == "contractloom_test.requests" and table.columns == list(COLUMNS)
+        assert table.schema["PolNumber"].metadata["comment"] == "Policy number"
+        (tmp_path / "r.csv").write_text("PolNumber\nP1\nP2\n")
+        schema = tables.request_schema()
+        one = type(schema)([schema["PolNumber"]])
+        for _ in range(2):
+            tables.load_csv(spark, str(tmp_path / "r.csv"), "loaded", schema=one, database="contractloom_test")
+        assert tables.read_table(spark, "loaded", "contractloom_test").count() == 2
+    finally:
+        spark.sql("DROP DATABASE contractloom_test CASCADE")

@@ -28,8 +28,7 @@ SHARE = 1.5
 CEILING = 2.0
 SEED = "mix-1"
 CLASSES_AN_OCTAVE = 4
-BLOCK_ROWS = 200_000
-MIN_BLOCKS = 8
+BLOCK_ROWS = 100_000  # rows to a pair of blocks, one for either side
 
 
 def targets(sizes: DataFrame, share: float = SHARE, ceiling: float = CEILING, weights=WEIGHTS) -> DataFrame:
@@ -80,7 +79,7 @@ def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str
 
 def _copies(sized: DataFrame, share, ceiling, weights, seed) -> DataFrame:
     rows = sized.count()
-    blocks = max(MIN_BLOCKS, rows // BLOCK_ROWS)
+    blocks = 2 * (1 + rows // BLOCK_ROWS)
     placed = sized.select(
         "*",
         F.floor(F.log2(F.col("size") + 1) * CLASSES_AN_OCTAVE).cast("int").alias("class"),

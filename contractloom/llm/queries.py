@@ -1,5 +1,6 @@
 """The registered queries of the package and their SQL."""
 
+from .minhash import op5_hyperminhash
 from .mixing import op7_systematic_mix
 from .oracles import ORACLES
 from .packing import op6_vector_packing
@@ -7,7 +8,7 @@ from .quality import op3_quality_bands
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_quality_bands, op6_vector_packing, op7_systematic_mix)
+    for f in (op3_quality_bands, op5_hyperminhash, op6_vector_packing, op7_systematic_mix)
 }
 
 __all__ = ["ORACLES", "QUERIES"]

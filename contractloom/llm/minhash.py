@@ -10,11 +10,12 @@ corrected for registers that agree by chance, screens them; the full sets decide
 How it stays whole and small:
 
 * Documents with equal sets are one class from the start; only classes go on.
-* A band's bucket never makes all its pairs. Each round tests all its members against a
-  few of them (the smallest ids of hashed quarters), joins the links into components and
-  leaves the bucket when its untested members are of one component; the others go to the
-  next round without the tested ones. So every pair of a bucket that could still join
-  two components is tested, and no bucket or partner is capped.
+* A band's bucket doesn't make all its pairs. Each round tests its members against a few
+  of them (the smallest id of each of 4 hashed parts, 64 in the next round, and so on)
+  where their components differ, joins the links into components, and leaves a bucket
+  when its untested members are of one component; the others go on without the tested
+  ones. So every pair of a bucket that could still join two components is tested, and no
+  bucket or partner is capped.
 * Rounds and components are loops of joins and aggregates on tables in the shared
   folder; only counts come to the driver.
 
@@ -44,7 +45,8 @@ PERCENT = 75
 BANDS, ROWS = 64, 5
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
-CENTERS = 4
+CENTERS = 4  # of a bucket in the first round; each next round takes GROWTH times as many
+GROWTH = 16
 DEVIATIONS = 6.0
 SLICE_BYTES = 2 << 20
 CACHE = 300_000
@@ -194,19 +196,18 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def bands(reps: DataFrame) -> DataFrame:
-    """``key, id, n`` for each band of each representative."""
+    """``key, id`` for each band of each representative."""
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                regs = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, REGISTERS)
+                regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, REGISTERS)
                 keys = band_keys(regs)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS)), pa.array(np.repeat(batch.column(1).to_numpy(), BANDS))],
-                    names=["key", "id", "n"],
+                    [pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["key", "id"]
                 )
 
-    return reps.select("id", "n", "regs").mapInArrow(run, "key long, id long, n long")
+    return reps.select("id", "regs").mapInArrow(run, "key long, id long")
 
 
 def screen(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -266,29 +267,29 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``id, component`` for every end of the edges ``a, b``: the smallest id reachable.
 
-    Large-star and small-star steps by turns, until the edges stay the same. Each
-    links neighbours to the smallest one by an aggregate and a join.
+    Large-star and small-star steps by turns, until every end hangs on a root of its
+    own. Each links neighbours to the smallest one by an aggregate and a join.
     """
     edges = written(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "minhash-edges"
     )
-
-    def mark(df):
-        return tuple(df.select(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    before = mark(edges)
-    while before[0]:
+    while True:
+        # Stars already: no end has two roots, and no root is an end.
+        ends = edges.groupBy("u").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+        if ends.filter("lo < hi").isEmpty() and edges.select(F.col("v").alias("u")).join(edges, "u", "left_semi").isEmpty():
+            return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         edges = written(small.filter("u <> v").distinct(), "minhash-edges")
-        after = mark(edges)
-        if after == before:
-            break
-        before = after
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
+
+
+def _open(left: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one component."""
+    keys = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
+    return written(left.join(keys, "key", "left_semi").select("key", "id", "component"), "minhash-open")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -302,8 +303,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .dropDuplicates(["d1", "d2"]).select("d1", "d2", "id", "n", "regs")
     )
     reps = written(reps, "minhash-reps")
-    plain = docs.select(column(docs, key).cast("long").alias("id"), column(docs, text).alias("text"))
-    texts: DataFrame | None = None
 
     # A doc_id that comes with several sets ties their classes.
     member = able.select("id", "d1", "d2").join(classes.select("d1", "d2", "rep"), ["d1", "d2"]).select("id", "rep")
@@ -312,41 +311,41 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         member.join(several, "id", "left_semi").filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), "minhash-ties"
     )
 
-    bucket = bands(reps)
-    left = bucket.select("key", "id", "n", F.col("id").alias("component"))
-    confirmed: DataFrame | None = None
-    while True:
-        centers = [F.min(F.when(F.pmod(F.xxhash64("id"), F.lit(CENTERS)) == c, F.col("id"))).alias(f"c{c}") for c in range(CENTERS)]
-        keys = (
-            left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), *centers)
-            .filter("lo < hi").select("key", F.array_compact(F.array(*[f"c{c}" for c in range(CENTERS)])).alias("centers"))
-        )
-        left = written(left.join(keys, "key"), "minhash-left")
-        if texts is None:  # of all documents that share a bucket; the rounds need no others
+    left = bands(reps).withColumn("component", F.col("id"))
+    label = components(ties)
+    left = _open(left.drop("component").join(label, "id", "left").withColumn("component", F.coalesce("component", "id")) if not label.isEmpty() else left)
+    texts = None  # of all documents that share a bucket; the rounds need no others
+    size = reps.groupBy("id").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    centers = CENTERS
+    while not left.isEmpty():
+        if texts is None:
+            plain = docs.select(column(docs, key).cast("long").alias("id"), column(docs, text).alias("text"))
             texts = written(plain.join(left.select("id").distinct(), "id", "left_semi"), "minhash-texts")
+        slot = F.pmod(F.xxhash64("id"), F.lit(centers))
+        chosen = left.groupBy("key", slot).agg(F.min("id").alias("c")).select("key", "c")
+        root = left.select(F.col("id").alias("c"), F.col("component").alias("root")).distinct()
         pairs = (
-            left.select("id", "n", "component", F.explode("centers").alias("c")).filter("id <> c")
+            left.join(chosen.join(root, "c"), "key").filter("component <> root")
             .select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
         )
-        size = reps.groupBy("id").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
         pairs = pairs.join(size.select(F.col("id").alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi")), "a").join(
             size.select(F.col("id").alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi")), "b"
         )
         possible = F.expr(f"100 * bhi >= {PERCENT} * alo AND 100 * ahi >= {PERCENT} * blo")
         pairs = written(screen(pairs.filter(possible).select("a", "b"), reps), "minhash-pairs")
+        rest = left.join(chosen.withColumnRenamed("c", "id"), ["key", "id"], "left_anti")
         if not pairs.isEmpty():
             new = written(confirm(pairs, texts), "minhash-links")
-            confirmed = new if confirmed is None else confirmed.union(new)
-        edges = ties if confirmed is None else confirmed.union(ties)
-        label = components(edges)
-        rest = left.filter(~F.array_contains("centers", F.col("id"))).select("key", "id", "n")
-        left = (
-            rest.join(label, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
-        )
-        open_keys = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-        left = written(left.join(open_keys.select("key"), "key", "left_semi"), "minhash-open")
-        if left.isEmpty():
-            break
+            if not new.isEmpty():
+                # Components meet by their roots, so edges stay as few as the components that grow.
+                top = lambda c, to: label.select(F.col("id").alias(c), F.col("component").alias(to))
+                new = new.join(top("a", "ta"), "a", "left").join(top("b", "tb"), "b", "left").select(
+                    F.coalesce("ta", "a").alias("a"), F.coalesce("tb", "b").alias("b")
+                )
+                label = components(label.select(F.col("id").alias("a"), F.col("component").alias("b")).union(new))
+                rest = rest.drop("component").join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        left = _open(rest)
+        centers *= GROWTH
     rep_of = classes.select("d1", "d2", "rep").join(label.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
         "d1", "d2", F.coalesce("component", "rep").alias("component_id")
     )

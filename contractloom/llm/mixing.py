@@ -27,7 +27,6 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CEILING = 2.0
 SEED = "mix-1"
-CLASSES_AN_OCTAVE = 4
 BLOCK_ROWS = 100_000  # rows to a pair of blocks, one for either side
 
 
@@ -80,11 +79,12 @@ def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str
 def _copies(sized: DataFrame, share, ceiling, weights, seed) -> DataFrame:
     rows = sized.count()
     blocks = 2 * (1 + rows // BLOCK_ROWS)
-    placed = sized.select(
-        "*",
-        F.floor(F.log2(F.col("size") + 1) * CLASSES_AN_OCTAVE).cast("int").alias("class"),
-        F.pmod(F.xxhash64(F.lit(seed), F.col("key"), F.col("size")), F.lit(blocks)).cast("int").alias("block"),
-    ).withColumn("down", F.col("block") % 2).withColumn("class", F.when(F.col("down") == 1, -F.col("class")).otherwise(F.col("class")))
+    named = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("key").cast("string"), F.lit("")), F.lit(":"), F.col("size"))
+    block = F.conv(F.substring(F.md5(named), 1, 12), 16, 10).cast("long") % blocks
+    octave = F.length(F.bin(F.col("size") + 1))  # a size class is a quarter of an octave
+    quarter = F.expr("shiftright(shiftleft(size + 1, 2), length(bin(size + 1)) - 1) & 3")
+    placed = sized.select("*", block.alias("block"), (block % 2).alias("down"), (octave * 4 + quarter).alias("class"))
+    placed = placed.withColumn("class", F.when(F.col("down") == 1, -F.col("class")).otherwise(F.col("class")))
     counts = placed.groupBy("source", "down", "class", "block").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
     order = Window.partitionBy("source").orderBy("down", "class", "block").rowsBetween(Window.unboundedPreceding, -1)
     goal = targets(counts.groupBy("source").agg(F.sum("words").alias("source_size")), share, ceiling, weights)

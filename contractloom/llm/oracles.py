@@ -1,28 +1,124 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
 
-WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
+Not expressible: compressed sizes (op3), trained models (op8), tokenizer ids (op6), the
+forest (op4), keyed draws with collision rounds (op9). op5 is a transitive closure over
+all pairs, too slow as SQL on whole tables. These are tested against brute force.
+"""
+
+CHAT = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), sized AS (
+  SELECT *, length(regexp_replace(text, '([<\[])(\\*)(/?s>|/?(?:INST|SYS|ROLE)\])', '\1\\\2\3', 'g')) AS body,
+    length(regexp_replace(role, '([<\[])(\\*)(/?s>|/?(?:INST|SYS|ROLE)\])', '\1\\\2\3', 'g')) AS name
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(body + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 13 WHEN 'assistant' THEN 5 ELSE 18 + name END) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+SHARDS = r"""
+WITH rows AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS bytes,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
+  FROM documents
+), levels AS (
+  SELECT d AS depth, h >> (60 - d) AS prefix, sum(bytes) AS b, count(*) AS n
+  FROM rows, (SELECT CAST(unnest(range(0, 61)) AS INTEGER) AS d) GROUP BY 1, 2
+), fit AS (
+  SELECT depth, prefix, b, n FROM levels WHERE b <= 1048576 OR n = 1 OR depth = 60
+), placed AS (
+  SELECT r.doc_id, r.bytes, f.depth, f.prefix, f.b, f.n, row_number() OVER (PARTITION BY r.h ORDER BY f.depth) AS rn
+  FROM rows r JOIN fit f ON f.prefix = r.h >> (60 - f.depth)
+)
+SELECT doc_id, bytes, depth, prefix, CAST(0 AS BIGINT) AS page, CAST(b AS BIGINT) AS shard_bytes, n AS shard_rows
+FROM placed WHERE rn = 1
+"""
 
 MIX = r"""
 WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
-  FROM documents
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), placed AS (
+  SELECT *, CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(size AS VARCHAR)), 1, 12) AS BIGINT)
+    % (2 * (1 + (SELECT count(*) FROM sized) // 100000)) AS block,
+    length(bin(size + 1)) * 4 + (((size + 1) * 4 >> (length(bin(size + 1)) - 1)) & 3) AS class
+  FROM sized
+), numbered AS (
+  SELECT doc_id, source, size, row_number() OVER (
+    PARTITION BY source ORDER BY block % 2, CASE block % 2 WHEN 1 THEN -class ELSE class END, block,
+    CASE block % 2 WHEN 1 THEN -size ELSE size END, doc_id NULLS FIRST) AS n
+  FROM placed
 ), by_source AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS rnk
   FROM sized GROUP BY source
 ), weighed AS (
-  SELECT *, CASE (rnk - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS w,
-    source_size * 2.0::DOUBLE AS cap, CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE AS total
+  SELECT *, CAST(CASE (rnk - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS DOUBLE) AS w,
+    source_size * CAST(2 AS DOUBLE) AS cap, CAST(sum(source_size) OVER () AS DOUBLE) * CAST(1.5 AS DOUBLE) AS total
   FROM by_source
 ), levels AS (
   SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / w, rnk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(w) OVER (ORDER BY cap / w, rnk ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev
   FROM weighed
-), goal AS (
+), topped AS (
   SELECT source, source_size, w, cap, max(CASE WHEN lev < cap / w THEN lev END) OVER () AS lev FROM levels
+), goal AS (
+  SELECT source, source_size, CASE WHEN lev IS NULL OR cap / w <= lev THEN cap ELSE w * lev END AS target,
+    CAST(CAST('0x' || substr(sha256('mix-1' || coalesce('=' || source, 'null')), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656 AS off
+  FROM topped
+), dealt AS (
+  SELECT n.doc_id, n.size, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS rate, g.off, n.n
+  FROM numbered n JOIN goal g ON n.source IS NOT DISTINCT FROM g.source
+), counted AS (
+  SELECT *, CAST(floor(n * rate + off) AS BIGINT) - CAST(floor((n - 1) * rate + off) AS BIGINT) AS copies FROM dealt
+)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM counted
+"""
+
+
+def _spans(kind: str, rank: int, regex: str, group: int, least: int) -> str:
+    regex = regex.replace("'", "''")
+    return f"""
+  SELECT row_no, '{kind}' AS kind, {rank} AS rank, length(hits[i]) AS len,
+    CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) AS BIGINT)
+      + CAST(coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+  FROM (
+    SELECT *, unnest(range(1, len(hits) + 1)) AS i
+    FROM (
+      SELECT row_no, regexp_extract_all(text, '{regex}', 0) AS hits, regexp_extract_all(text, '{regex}', {group}) AS counts,
+        string_split_regex(text, '{regex}') AS gaps
+      FROM docs
+    ) WHERE len(hits) > 0
+  ) WHERE length(counts[i]) >= {max(1, least)}"""
+
+
+def secrets_sql() -> str:
+    from .secret_scan import BASE, RULES
+
+    parts = "\n  UNION ALL".join(_spans(r.kind, i, r.regex, r.group, r.least) for i, r in enumerate(RULES))
+    base = ", ".join(f"'{r.kind}'" for r in BASE)
+    counts = ", ".join(f"CAST(count(*) FILTER (WHERE kind = '{r.kind}') AS BIGINT) AS n_{r.kind}" for r in BASE)
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS row_no FROM documents),
+found AS ({parts}
+), listed AS (
+  SELECT row_no, {counts},
+    coalesce(string_agg(kind || ':' || s || ':' || (s + len), ',' ORDER BY s, rank, len) FILTER (WHERE kind IN ({base})), '') AS base,
+    string_agg(kind || ':' || s || ':' || (s + len), ',' ORDER BY s, rank, len) AS spans
+  FROM found GROUP BY row_no
 )
-SELECT s.doc_id, s.size, g.source_size,
-  CASE WHEN g.lev IS NULL OR g.cap / g.w <= g.lev THEN g.cap ELSE g.w * g.lev END AS target
-FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (row_no)
 """
 
-ORACLES: dict[str, str] = {}
+
+ORACLES: dict[str, str] = {
+    "op1_chat_masks": CHAT,
+    "op2_extendible_shards": SHARDS,
+    "op7_systematic_mix": MIX,
+    "op10_trigram_secrets": secrets_sql(),
+}

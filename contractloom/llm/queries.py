@@ -1,14 +1,21 @@
 """The registered queries of the package and their SQL."""
 
+from .chat import op1_chat_masks
 from .minhash import op5_hyperminhash
 from .mixing import op7_systematic_mix
 from .oracles import ORACLES
 from .packing import op6_vector_packing
+from .pii import op9_surrogates
 from .quality import op3_quality_bands
+from .secret_scan import op10_trigram_secrets
+from .sharding import op2_extendible_shards
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_quality_bands, op5_hyperminhash, op6_vector_packing, op7_systematic_mix)
+    for f in (
+        op1_chat_masks, op2_extendible_shards, op3_quality_bands, op5_hyperminhash, op6_vector_packing,
+        op7_systematic_mix, op9_surrogates, op10_trigram_secrets,
+    )
 }
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -18,6 +18,7 @@ each. Null keys stay null. An empty table gives no piece.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from .common import read
 
 MAX_TOKENS = 4096
 MAX_SEGMENTS = 128
-WINDOW = 1024  # remainders that wait together in a task
+WINDOW = 256  # remainders that wait together in a task
 END_ID = 2
 CACHE = 400_000  # words whose ids a task holds; it starts anew beyond
 
@@ -39,26 +40,65 @@ class WordEncoder:
     """Ids of texts by a tokenizer that drops white space, word by word.
 
     Such a tokenizer never looks across white space, so the ids of a text are those of
-    its words in order; each distinct word is encoded once.
+    its words in order; each distinct word is encoded once. A word of Latin letters with
+    signs behind it is one piece of letters and one of signs to the tokenizer, so the
+    letters, in small ones, are encoded once for all such words by its model alone.
     """
 
+    SIGNS = ".,;:!?|#$%&*-"
+
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.as_bytes = {}
+        alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        for c in map(chr, range(0x80, 0x250)):
+            self.as_bytes[ord(c)] = alphabet.pre_tokenize_str(c)[0][0]
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = {w for words in split for w in words}.difference(self.known)
+    def _whole(self, words: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, new: set[str]) -> None:
         if len(self.known) + len(new) > CACHE:
             self.known = {}
-            new = {w for words in split for w in words}
-        new = list(new)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, np.uint32).tobytes()
-        known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in words]), np.uint32) for words in split]
+        if len(self.letters) > CACHE:
+            self.letters = {}
+        known, letters, tokenize = self.known, self.letters, self.tokenizer.model.tokenize
+        split, other, signs = [], [], set()
+        for w in new:
+            core = w.rstrip(self.SIGNS)
+            if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and "\u0130" not in core)):
+                split.append((w, core, w[len(core) :]))
+                if len(core) < len(w):
+                    signs.add(w[len(core) :])
+            else:
+                other.append(w)
+        signs = list(signs.difference(known))
+        known.update(zip(signs, self._whole(signs)))
+        known.update(zip(other, self._whole(other)))
+        for w, core, tail in split:
+            core = core.lower()
+            ids = letters.get(core)
+            if ids is None:
+                mapped = core if core.isascii() else core.translate(self.as_bytes)
+                ids = letters[core] = array("I", [t.id for t in tokenize(mapped)]).tobytes()
+            known[w] = ids + known[tail] if tail else ids
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        found = [list(map(self.known.get, words)) for words in split]
+        gaps = [i for i, f in enumerate(found) if None in f]
+        if gaps:
+            self._learn({w for i in gaps for w, x in zip(split[i], found[i]) if x is None})
+            for i in gaps:
+                found[i] = list(map(self.known.get, split[i]))
+                if None in found[i]:  # the cache began anew in between
+                    self._learn({w for w, x in zip(split[i], found[i]) if x is None})
+                    found[i] = list(map(self.known.__getitem__, split[i]))
+        return [np.frombuffer(b"".join(f), np.uint32) for f in found]
 
 
 class Packer:

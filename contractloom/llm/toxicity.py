@@ -21,6 +21,7 @@ rows get the same score.
 
 from __future__ import annotations
 
+from array import array
 from typing import NamedTuple
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import column, read
 
-MAX_TOXIC, MAX_CLEAN = 1200, 1800
+MAX_TOXIC, MAX_CLEAN = 600, 900
 WINDOW = 64  # tokens to a training sequence
 FEATURES = 1 << 20
 STEPS = 60
@@ -137,19 +138,24 @@ def fit(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
         return nothing
     # Forms by the documents they occur in.
     form_no: dict[str, int] = {}
-    of_word = [[form_no.setdefault(f, len(form_no)) for f in forms(w)] for w in words]
+    of_word, ends = array("i"), array("i", [0])  # the forms of all words, one after another
+    for w in words:
+        of_word.extend([form_no.setdefault(f, len(form_no)) for f in forms(w)])
+        ends.append(len(of_word))
+    of_word, ends = np.array(of_word), np.array(ends)
     counts = np.zeros((2, len(form_no)))
     for ids, y in zip(tokens, y_doc):
         if len(ids):
-            counts[y, list({f for i in np.unique(ids) for f in of_word[i]})] += 1
+            counts[y, np.unique(np.concatenate([of_word[ends[i] : ends[i + 1]] for i in np.unique(ids)]))] += 1
     a, b = counts[1], counts[0]
     big_a, big_b = y_doc.sum(), (1 - y_doc).sum()
     share = (a + b) / (big_a + big_b)
     with np.errstate(divide="ignore", invalid="ignore"):
         g2 = 2 * (np.where(a > 0, a * np.log(a / (big_a * share)), 0) + np.where(b > 0, b * np.log(b / (big_b * share)), 0))
     odds = np.log((a + 0.5) / (big_a + 1)) - np.log((b + 0.5) / (big_b + 1))
-    marked = (g2 >= 2 * np.log(len(form_no)) + 2) & (odds >= 2.5)
-    toxic_word = np.array([any(marked[f] for f in fs) for fs in of_word])
+    marked = (g2 >= 2 * np.log(len(g2)) + 2) & (odds >= 2.5)
+    toxic_word = np.logical_or.reduceat(marked[of_word], ends[:-1])
+    del form_no
     # Sequences of WINDOW tokens, the rest of a document padded.
     seqs, gold = [], []
     for ids, y in zip(tokens, y_doc):
@@ -157,12 +163,16 @@ def fit(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
             part = ids[i : i + WINDOW]
             seqs.append(np.concatenate([part, np.full(WINDOW - len(part), -1)]))
             gold.append(np.concatenate([toxic_word[part] * y, np.zeros(WINDOW - len(part), np.int64)]))
-    x, z = np.array(seqs), np.array(gold, float)
+    x, z = np.array(seqs, np.int32), np.array(gold, np.float32)
+    del seqs, gold
     there = x >= 0
     flat = np.where(there, x, 0)
-    feats = [features(w) for w in words]
-    width = np.array([len(f) for f in feats])
-    word_of, feat = np.repeat(np.arange(len(words)), width), np.array([f for fs in feats for f in fs])
+    feat, width = array("i"), array("i")
+    for w in words:
+        found = features(w)
+        feat.extend(found)
+        width.append(len(found))
+    feat, word_of = np.array(feat), np.repeat(np.arange(len(words)), np.array(width))
     weights, bias, moves, start = np.zeros(FEATURES), -3.0, np.zeros((2, 2)), -2.0
     squares = [np.full(FEATURES, 1e-8), 1e-8, np.full((2, 2), 1e-8), 1e-8]
     total = there.sum()
@@ -170,11 +180,10 @@ def fit(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
     pairs = there[:, 1:]
     seen = np.array([[((zz[:, :-1] == i) & (zz[:, 1:] == j) & pairs).sum() for j in (0, 1)] for i in (0, 1)])
     for _ in range(steps):
-        score = np.bincount(word_of, weights[feat], len(words)) + bias
-        em = np.where(there, np.clip(score[flat], -30, 30), 0.0)
-        ex = np.exp(em)
+        score = (np.bincount(word_of, weights[feat], len(words)) + bias).astype(np.float32)
+        ex = np.exp(np.where(there, np.clip(score[flat], -30, 30), np.float32(0)))
         m, s = np.exp(moves), np.exp(start)
-        alpha = np.empty((WINDOW, 2, len(x)))
+        alpha = np.empty((WINDOW, 2, len(x)), np.float32)
         alpha[0] = np.stack([np.ones(len(x)), s * ex[:, 0]])
         alpha[0] /= alpha[0].sum(0)
         for t in range(1, WINDOW):
@@ -182,7 +191,7 @@ def fit(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
             alpha[t] = (a0 * m[0, 0] + a1 * m[1, 0]), (a0 * m[0, 1] + a1 * m[1, 1]) * ex[:, t]
             alpha[t] = np.where(there[:, t], alpha[t], alpha[t - 1])
             alpha[t] /= alpha[t].sum(0)
-        beta = np.ones((WINDOW, 2, len(x)))
+        beta = np.ones((WINDOW, 2, len(x)), np.float32)
         expected = np.zeros((2, 2))
         for t in range(WINDOW - 2, -1, -1):
             b0, b1 = beta[t + 1][0], beta[t + 1][1] * ex[:, t + 1]

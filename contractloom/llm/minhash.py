@@ -10,14 +10,15 @@ corrected for registers that agree by chance, screens them; the full sets decide
 How it stays whole and small:
 
 * Documents with equal sets are one class from the start; only classes go on.
-* A band's bucket doesn't make all its pairs. Each round tests its members against a few
-  of them (the smallest id of each of 4 hashed parts, 64 in the next round, and so on)
-  where their components differ, joins the links into components, and leaves a bucket
-  when its untested members are of one component; the others go on without the tested
-  ones. So every pair of a bucket that could still join two components is tested, and no
-  bucket or partner is capped.
-* Rounds and components are loops of joins and aggregates on tables in the shared
-  folder; only counts come to the driver.
+* A band's bucket never makes its pairs. It tests its members against one of them, the one
+  that shares most buckets with others, so a group of copies meets in its middle. Links
+  join into components; a bucket of one component is done.
+* The documents of the other buckets go to an exact join that needs no luck: shingles in
+  order of rarity, a linked pair must share one among the rarest of both (as many as
+  their sizes allow to differ). Pairs within a component are left out. So no pair that
+  could still join two components is lost, and no bucket or partner is capped.
+* Components are a loop of joins and aggregates on tables in the shared folder; only
+  counts come to the driver.
 
 With 64 bands of five registers a pair of similarity 0.75 is missed with a chance of
 3e-8, a more similar one with less. The screen lets pass whatever is not six standard
@@ -32,10 +33,11 @@ component and is kept. Other columns play no part.
 from __future__ import annotations
 
 import functools
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import column, fresh_name, read, written
@@ -45,8 +47,7 @@ PERCENT = 75
 BANDS, ROWS = 64, 5
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
-CENTERS = 4  # of a bucket in the first round; each next round takes GROWTH times as many
-GROWTH = 16
+CLASS = 1.1  # ratio of the sizes of a class in the exact join
 DEVIATIONS = 6.0
 SLICE_BYTES = 2 << 20
 CACHE = 300_000
@@ -287,9 +288,92 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _open(left: DataFrame) -> DataFrame:
-    """The rows of buckets that hold more than one component."""
-    keys = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    return written(left.join(keys, "key", "left_semi").select("key", "id", "component"), "minhash-open")
+    """``key, id, component, members`` of the buckets that hold more than one component."""
+    keys = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"))
+    return written(left.join(keys.filter("lo < hi").select("key", "members"), "key").select("key", "id", "component", "members"), "minhash-open")
+
+
+def middle_pairs(left: DataFrame) -> DataFrame:
+    """Pairs of each bucket's middle, its member with most neighbours in all buckets, and its other members."""
+    mass = left.groupBy("id").agg(F.sum("members").alias("mass"))
+    rows = written(left.join(mass, "id"), "minhash-mass")
+    most = rows.groupBy("key").agg(F.max("mass").alias("most"))
+    middle = rows.join(most, "key").filter("mass = most").groupBy("key").agg(F.min("id").alias("c"))
+    root = rows.select(F.col("id").alias("c"), F.col("component").alias("root")).distinct()
+    pairs = rows.join(middle.join(root, "c"), "key").filter("component <> root")
+    return pairs.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
+
+
+def rare_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """All pairs of different components that may be linked, by their rarest shingles.
+
+    Sets of sizes m and n are linked if they share t = 3/7 (m + n) shingles or more. Then,
+    in any common order, the first m - t + 1 of the one and n - t + 1 of the other share
+    one. The order is by rarity among ``members``; t is taken for the smallest size of
+    the partner's class, so each row's count serves all partners of the class. The number
+    that the two beginnings share bounds how much the sets can.
+    """
+
+    def run(batches):
+        shingler = Shingler()
+        for batch in batches:
+            for part in slices(batch, 1):
+                sets = shingler.sets(part.column(1).to_pylist())
+                n = np.array([len(s) for s in sets], np.int64)
+                shingle = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(part.column(0).to_numpy(), n)), pa.array(np.repeat(n, n)), pa.array(shingle)], names=["id", "n", "s"]
+                )
+
+    rows = texts.join(members.select("id"), "id", "left_semi").mapInArrow(run, "id long, n long, s long").distinct()
+    rows = written(rows.join(members, "id"), "minhash-shingles")
+    rarity = rows.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    place = F.row_number().over(Window.partitionBy("id", "n").orderBy("df", "s"))  # a set's own shingles
+    log = F.floor(F.log("n") / math.log(CLASS)).cast("int")
+    spread = math.ceil(math.log(100 / PERCENT) / math.log(CLASS))
+    ranked = rows.join(rarity, "s").withColumn("place", place).filter("lo < hi").withColumn("own", log)
+    other = ranked.withColumn("other", F.explode(F.sequence(F.col("own") - spread, F.col("own") + spread)))
+    # One less than the class begins with, for logarithms that round to the other side.
+    least = F.greatest(F.floor(F.pow(F.lit(CLASS), F.col("other"))) - 1, F.ceil(F.col("n") * PERCENT / 100) - 1, F.lit(1))
+    share = F.ceil((F.col("n") + least) * PERCENT / (100 + PERCENT) - 1e-9)
+    length = F.col("n") - share + 1
+    prefixes = (
+        other.withColumn("length", length).filter("place <= length")
+        .groupBy("id", "n", "component", "own", "other", "length").agg(F.collect_list("s").alias("p"))  # as long as the prefix
+    )
+    prefixes = written(prefixes, "minhash-rare")
+    one, two = (
+        prefixes.select(F.explode("p").alias(f"s{k}"), *[F.col(c).alias(f"{c}{k}") for c in ("id", "n", "component", "own", "other", "length", "p")])
+        for k in "ab"
+    )
+    # What both have up to the nearer end of the prefixes is in both; behind it there is only so much left. A pair
+    # meets at the smallest shingle of both prefixes alone.
+    near = (F.col("sa") == F.col("sb")) & F.expr(
+        "owna = otherb AND othera = ownb AND ida < idb AND componenta <> componentb"
+        f" AND 100 * na >= {PERCENT} * nb AND 100 * nb >= {PERCENT} * na"
+        f" AND {100 + PERCENT} * (size(array_intersect(pa, pb)) + greatest(na - lengtha, nb - lengthb)) >= {PERCENT} * (na + nb)"
+        " AND array_min(array_intersect(pa, pb)) = sa"
+    )
+    return one.join(two, near).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
+
+
+def _joined(label: DataFrame, pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """The components after the links among ``pairs``."""
+    size = reps.groupBy("id").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    two = pairs.join(size.select(F.col("id").alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi")), "a").alias("p").join(
+        size.select(F.col("id").alias("c"), F.col("lo").alias("blo"), F.col("hi").alias("bhi")),
+        F.expr(f"p.b = c AND 100 * bhi >= {PERCENT} * alo AND 100 * ahi >= {PERCENT} * blo"),
+    )
+    likely = written(screen(two.select("a", "b"), reps), "minhash-pairs")
+    if likely.isEmpty():
+        return label
+    links = written(confirm(likely, texts), "minhash-links")
+    if links.isEmpty():
+        return label
+    # Components meet by their roots, so edges stay as few as the components that grow.
+    top = lambda c, to: label.select(F.col("id").alias(c), F.col("component").alias(to))
+    new = links.join(top("a", "ta"), "a", "left").join(top("b", "tb"), "b", "left").select(F.coalesce("ta", "a").alias("a"), F.coalesce("tb", "b").alias("b"))
+    return components(label.select(F.col("id").alias("a"), F.col("component").alias("b")).union(new))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -311,41 +395,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         member.join(several, "id", "left_semi").filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), "minhash-ties"
     )
 
-    left = bands(reps).withColumn("component", F.col("id"))
     label = components(ties)
-    left = _open(left.drop("component").join(label, "id", "left").withColumn("component", F.coalesce("component", "id")) if not label.isEmpty() else left)
-    texts = None  # of all documents that share a bucket; the rounds need no others
-    size = reps.groupBy("id").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    centers = CENTERS
-    while not left.isEmpty():
-        if texts is None:
-            plain = docs.select(column(docs, key).cast("long").alias("id"), column(docs, text).alias("text"))
-            texts = written(plain.join(left.select("id").distinct(), "id", "left_semi"), "minhash-texts")
-        slot = F.pmod(F.xxhash64("id"), F.lit(centers))
-        chosen = left.groupBy("key", slot).agg(F.min("id").alias("c")).select("key", "c")
-        root = left.select(F.col("id").alias("c"), F.col("component").alias("root")).distinct()
-        pairs = (
-            left.join(chosen.join(root, "c"), "key").filter("component <> root")
-            .select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
-        )
-        pairs = pairs.join(size.select(F.col("id").alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi")), "a").join(
-            size.select(F.col("id").alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi")), "b"
-        )
-        possible = F.expr(f"100 * bhi >= {PERCENT} * alo AND 100 * ahi >= {PERCENT} * blo")
-        pairs = written(screen(pairs.filter(possible).select("a", "b"), reps), "minhash-pairs")
-        rest = left.join(chosen.withColumnRenamed("c", "id"), ["key", "id"], "left_anti")
-        if not pairs.isEmpty():
-            new = written(confirm(pairs, texts), "minhash-links")
-            if not new.isEmpty():
-                # Components meet by their roots, so edges stay as few as the components that grow.
-                top = lambda c, to: label.select(F.col("id").alias(c), F.col("component").alias(to))
-                new = new.join(top("a", "ta"), "a", "left").join(top("b", "tb"), "b", "left").select(
-                    F.coalesce("ta", "a").alias("a"), F.coalesce("tb", "b").alias("b")
-                )
-                label = components(label.select(F.col("id").alias("a"), F.col("component").alias("b")).union(new))
-                rest = rest.drop("component").join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        left = _open(rest)
-        centers *= GROWTH
+    known = bands(reps).join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    left = _open(known)
+    if not left.isEmpty():
+        plain = docs.select(column(docs, key).cast("long").alias("id"), column(docs, text).alias("text"))
+        texts = written(plain.join(left.select("id").distinct(), "id", "left_semi"), "minhash-texts")  # of all that share a bucket
+        label = _joined(label, middle_pairs(left), reps, texts)
+        rest = _open(left.select("key", "id").join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")))
+        if not rest.isEmpty():
+            label = _joined(label, rare_pairs(texts, rest.select("id", "component").distinct()), reps, texts)
     rep_of = classes.select("d1", "d2", "rep").join(label.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
         "d1", "d2", F.coalesce("component", "rep").alias("component_id")
     )

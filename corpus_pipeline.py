@@ -16,6 +16,7 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from contractloom.llm import minhash, mixing, packing, pii, quality
 from contractloom.llm.common import read, shared_folder
@@ -33,7 +34,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for personal data."""
-    return pii.pseudonymize(docs)
+    out = pii.pseudonymize(docs)
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -330,7 +330,9 @@ def facts_from_wide(wide: DataFrame, contra: DataFrame | None = None) -> DataFra
         F.col("first_line") if "first_line" in wide.columns
         else F.monotonically_increasing_id().alias("first_line"),
         resolve_column(wide, "1301_CUSIP_Number").alias("cusip"),
-        resolve_column(wide, "1301_Contract_Status").alias("status"),
+        (resolve_column(wide, "1301_Contract_Status")
+         if {"1301_Contract_Status", "1301_Contract_Status_1"} & set(wide.columns)
+         else F.lit(None).cast("string")).alias("status"),
         resolve_column(wide, "1301_Distributors_Account_ID").alias("account"),
         resolve_column(wide, "1301_Contract_State").alias("state"),
         resolve_column(wide, "1305_Agent_Non_Natural_Name").alias("agent_name"),
@@ -397,7 +399,9 @@ def filter_distributor(facts: DataFrame, distributor: str | None) -> DataFrame:
 
 
 def filter_active(facts: DataFrame) -> DataFrame:
-    return facts.filter(strip(F.col("status")).isin(*ACTIVE_STATUSES))
+    """Contracts in force. A null status says that the input has no such column: all stay."""
+    status = F.col("status")
+    return facts.filter(status.isNull() | strip(status).isin(*ACTIVE_STATUSES))
 
 
 def excluded_by_status(facts: DataFrame) -> DataFrame:
@@ -435,12 +439,12 @@ def classify(facts: DataFrame) -> DataFrame:
 
 
 def withdrawal_distribution(classified: DataFrame) -> DataFrame:
-    """Contracts per withdrawal type, split by percent and amount."""
+    """Contracts per withdrawal type, split by percent and amount; the most frequent first."""
     return classified.groupBy("withdrawal_type").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("value_type") == "Percent").alias("percent_n"),
         F.count_if(F.col("value_type") == "Amount").alias("amount_n"),
-    )
+    ).orderBy(F.desc("n"), "withdrawal_type")
 
 
 def producer_number(facts: DataFrame) -> Column:

@@ -1,19 +1,23 @@
-"""Wide contract rows: one row per contract, one column per field and occurrence."""
+"""Contract rows: the long form without any limit, and the wide one with a column per field and occurrence.
+
+The long form has a row for each record, with its number in its contract. The wide row is
+a view of it, as wide as the fullest contract. Lines without a contract share one key
+and may be any number; they do not widen the view, and those of them that it has no
+columns for are in the long form alone.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractloom.functions.lines import cut_sql
-from contractloom.operators.records import occurrence_limits
+from contractloom.operators.records import NO_CONTRACT, occurrence_limits, occurrence_number
 from contractloom.sources.fixed_width import detail_records
-from contractloom.spec.layouts import LAYOUTS, Field
-
-MAX_COLUMNS = 20_000
+from contractloom.spec.layouts import LAYOUTS, REPEATING_TYPES, Field
 
 META_COLUMNS = ("file", "first_line")
 
@@ -46,28 +50,54 @@ def wide_columns(limits: dict[str, int]) -> list[WideColumn]:
     ]
 
 
-def flatten(records: DataFrame, limits: dict[str, int] | None = None, *,
-            max_columns: int = MAX_COLUMNS) -> DataFrame:
+def flatten_long(records: DataFrame) -> DataFrame:
+    """Every detail record with ``occ``, its number in its contract and type; nothing is gathered."""
+    return occurrence_number(records)
+
+
+def unplaced(records: DataFrame, limits: dict[str, int]) -> DataFrame:
+    """Records without a contract that the wide row has no columns for, in the long form."""
+    stray = occurrence_number(records.filter(F.col("contract") == NO_CONTRACT))
+    return stray.filter(_repeats() & (F.col("occ") > _limit(limits)))
+
+
+def _repeats() -> Column:
+    return F.col("record_type").isin(*REPEATING_TYPES)
+
+
+def _limit(limits: dict[str, int]) -> Column:
+    """The most occurrences of a record's type in a contract, one at least."""
+    known = F.create_map(*(F.lit(x) for item in (limits or {"": 1}).items() for x in item))
+    return F.greatest(F.coalesce(known[F.col("record_type")], F.lit(1)), F.lit(1))
+
+
+def placed(records: DataFrame, limits: dict[str, int]) -> DataFrame:
+    """The records that the wide row has columns for: all but ``unplaced``."""
+    stray = F.col("contract") == NO_CONTRACT
+    shown = occurrence_number(records.filter(stray)).filter(~_repeats() | (F.col("occ") <= _limit(limits)))
+    return detail_records(records).filter(~stray).unionByName(shown.drop("occ"))
+
+
+def flatten(records: DataFrame, limits: dict[str, int] | None = None, *, counted: bool = False) -> DataFrame:
     """One wide row per file and contract.
 
-    ``limits`` is the most occurrences per type. It is counted by one small job
-    when it is not given, and it bounds what is gathered per contract: the
-    records of a contract become the columns of its row. A single type is
-    reduced to its last record before the shuffle.
+    ``limits`` is the most occurrences per type in a contract. They are counted by one small
+    job, unless ``counted`` says that the given ones are such counts, and lower ones
+    are refused before anything is gathered. So what is gathered for a contract is
+    its own row. A single type is reduced to its last record before the shuffle.
     """
-    if limits is None:
-        limits = occurrence_limits(records)
+    if not counted:
+        most = occurrence_limits(records)
+        limits = most if limits is None else limits
+        for t, n in most.items():
+            if n > max(1, limits.get(t, 0)) and LAYOUTS[t].repeats:
+                raise ValueError(f"a contract has {n} records of type {t}, more than {limits.get(t, 0)}")
     columns = wide_columns(limits)
-    if len(columns) > max_columns:
-        raise ValueError(
-            f"{len(columns)} wide columns, more than {max_columns}: "
-            "use occurrence_number for the long form"
-        )
     numbered = [t for t in sorted(limits) if slots_of(t, limits) != [0]]
     single = [t for t in sorted(limits) if slots_of(t, limits) == [0]]
     t, line_no, raw = F.col("record_type"), F.col("line_no"), F.col("raw")
 
-    gathered = detail_records(records).groupBy("file", "contract").agg(
+    gathered = placed(records, limits).groupBy("file", "contract").agg(
         F.min("line_no").alias("first_line"),
         *(F.max_by(F.when(t == s, raw), F.when(t == s, line_no)).alias(f"one_{s}") for s in single),
         *(
@@ -75,15 +105,6 @@ def flatten(records: DataFrame, limits: dict[str, int] | None = None, *,
             for n in numbered
         ),
     )
-    # A limit given by the caller must hold; nothing is cut off.
-    for n in numbered:
-        full = F.col(f"all_{n}")
-        gathered = gathered.withColumn(
-            f"all_{n}",
-            F.when(F.size(full) <= limits[n], full).otherwise(
-                F.raise_error(F.lit(f"more than {limits[n]} records of type {n} in a contract"))
-            ),
-        )
     slots = gathered.select(
         "file",
         "first_line",

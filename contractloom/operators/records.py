@@ -67,7 +67,7 @@ def number_in_group(df: DataFrame, keys: list[str], order: list[str], block: Col
     return (
         pieces.withColumn("_local", F.row_number().over(local))
         .join(offsets, [*keys, "_block"], "left")
-        .withColumn(name, (F.coalesce("_before", F.lit(0)) + F.col("_local")).cast("int"))
+        .withColumn(name, (F.coalesce("_before", F.lit(0)) + F.col("_local")).cast("bigint"))
         .drop("_block", "_local", "_before")
     )
 
@@ -89,19 +89,19 @@ def record_type_counts(records: DataFrame) -> DataFrame:
 
 
 def max_occurrences(records: DataFrame) -> DataFrame:
-    """Per type: the most records any contract has of it."""
+    """Per type: the most records any contract has of it; lines without a contract count once."""
     return (
         detail_records(records)
         .groupBy("file", "contract", "record_type")
         .count()
         .groupBy("record_type")
-        .agg(F.max("count").alias("max_occ"))
+        .agg(F.max(F.when(F.col("contract") == NO_CONTRACT, 1).otherwise(F.col("count"))).alias("max_occ"))
     )
 
 
 def occurrence_limits(records: DataFrame) -> dict[str, int]:
     """``max_occurrences`` on the driver: at most one number per detail type."""
-    rows = max_occurrences(records).limit(len(DETAIL_TYPES)).collect()
+    rows = max_occurrences(records).collect()
     return {r["record_type"]: r["max_occ"] for r in rows}
 
 

@@ -282,7 +282,7 @@ def _failures(enriched: DataFrame) -> DataFrame:
 
 
 def failure_breakdown(enriched: DataFrame) -> DataFrame:
-    """Counts per reason and per code, the most frequent first at the sink."""
+    """Counts per reason and per code, the most frequent first, ties by name."""
     items = F.array(
         F.struct(F.lit("reason").alias("kind"), F.split("Failure_Reasons", "; ").alias("items")),
         F.struct(F.lit("code").alias("kind"), F.split("Predicted_Error_Codes", "; ").alias("items")),
@@ -293,6 +293,7 @@ def failure_breakdown(enriched: DataFrame) -> DataFrame:
         .select("kind", F.explode("items").alias("item"))
         .groupBy("kind", "item")
         .agg(F.count("*").alias("n"))
+        .orderBy("kind", F.desc("n"), "item")
     )
 
 
@@ -307,8 +308,8 @@ def pass_fail_summary(enriched: DataFrame) -> DataFrame:
     )
 
 
-def sample_failures(enriched: DataFrame, k: int = 10) -> DataFrame:
-    """The first failures in file order."""
+def sample_failures(enriched: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` failures in file order."""
     return _failures(enriched).orderBy("file", "first_line").limit(k)
 
 

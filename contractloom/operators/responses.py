@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractloom.functions.text import code_tag, error_codes, parse_errors, strip, strip_leading_zeros
@@ -46,7 +46,7 @@ def error_code_summary(responses: DataFrame, *, order: str = "Policy_Number") ->
     """Per error code: policies, the first description, the most frequent type, and advice.
 
     ``order`` says which description is first. A failure without any error is
-    counted as UNKNOWN.
+    counted as UNKNOWN. The code with most policies comes first, ties by name.
     """
     whole = F.coalesce("Error_Descriptions", F.lit(""))
     pairs = F.when(F.size("error_pairs") > 0, F.col("error_pairs")).otherwise(
@@ -65,6 +65,7 @@ def error_code_summary(responses: DataFrame, *, order: str = "Policy_Number") ->
             F.mode("Withdrawal_Type", True).alias("top_withdrawal_type"),
         )
         .withColumn("tag", code_tag(F.col("error_code")))
+        .orderBy(F.desc("policies"), "error_code")
     )
 
 
@@ -91,15 +92,35 @@ def failure_categories(responses: DataFrame) -> DataFrame:
     )
 
 
+# The columns of a response; files may have more.
+RESPONSE_SCHEMA = "Policy_Number string, Withdrawal_Type string, Status string, Result_code string, Error_Descriptions string"
+
+
+def read_responses(spark: SparkSession, path: str, *, encoding: str = "UTF-8") -> DataFrame:
+    """Responses from delimited text with a header, by column name; absent columns are null."""
+    df = (
+        spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+        .option("encoding", encoding).csv(path)
+    )
+    wanted = [c.split() for c in RESPONSE_SCHEMA.split(", ")]
+    return df.select(*(
+        (F.col(f"`{n}`") if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in wanted
+    ))
+
+
 def crossref_responses(responses: DataFrame, validation: DataFrame) -> DataFrame:
-    """Responses with the audited row of their policy; leading zeros do not count."""
-    left = responses.withColumn("_key", strip_leading_zeros(strip(F.col("Policy_Number"))))
+    """Responses with the audited rows of their policy; leading zeros do not count.
+
+    A blank policy has no partner: rows without one are not multiplied with each other.
+    """
+    left = responses.withColumn(
+        "_key", F.nullif(strip_leading_zeros(strip(F.col("Policy_Number"))), F.lit("")))
     right = validation.select(
-        strip_leading_zeros(strip(F.col("PolNumber"))).alias("_key"),
+        F.nullif(strip_leading_zeros(strip(F.col("PolNumber"))), F.lit("")).alias("_key"),
         *(F.col(c).alias(f"{c}_val") if c in responses.columns else F.col(c)
           for c in validation.columns),
     )
-    return left.join(right, "_key", "left").drop("_key")
+    return left.join(right.filter(F.col("_key").isNotNull()), "_key", "left").drop("_key")
 
 
 def crossref_summary(crossed: DataFrame, validation: DataFrame) -> DataFrame:

@@ -38,14 +38,15 @@ def flatten_positions(spark: SparkSession, paths: str | list[str],
     """
     lines = fixed_width.scan_lines(spark, paths)
     parsed = records.parse_records(lines)
-    limits = records.occurrence_limits(parsed) if limits is None else limits
+    counted = limits is None
+    limits = records.occurrence_limits(parsed) if counted else limits
     return Positions(
         lines=lines,
         records=parsed,
         rejects=fixed_width.rejects(lines, fixed_width.detect_format(lines)),
         files=fixed_width.file_metadata(lines),
         limits=limits,
-        wide=flatten.flatten(parsed, limits),
+        wide=flatten.flatten(parsed, limits, counted=counted),
     )
 
 

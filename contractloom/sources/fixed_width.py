@@ -21,9 +21,6 @@ from contractloom.spec.layouts import (
 
 STANDARD, EXTENDED = "standard", "extended"
 
-SAMPLE_LINES = 20
-SAMPLE_DETAILS = 50
-
 
 def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Read text files as numbered lines, counted from 1 in each file.
@@ -64,20 +61,21 @@ def format_verdict(line: Column) -> Column:
     )
 
 
-def _format(sample_lines: int) -> Column:
-    verdict = F.when(F.col("line_no") <= sample_lines, format_verdict(F.col("value")))
+def _format(sample_lines: int | None = None) -> Column:
+    verdict = format_verdict(F.col("value"))
+    if sample_lines is not None:
+        verdict = F.when(F.col("line_no") <= sample_lines, verdict)
     return F.coalesce(
         F.min_by(verdict, F.when(verdict.isNotNull(), F.col("line_no"))), F.lit(STANDARD)
     )
 
 
-def detect_format(lines: DataFrame, *, sample_lines: int = SAMPLE_LINES) -> DataFrame:
-    """One row per file: ``standard`` or ``extended``."""
-    return (
-        lines.filter(F.col("line_no") <= sample_lines)
-        .groupBy("file")
-        .agg(_format(sample_lines).alias("file_format"))
-    )
+def detect_format(lines: DataFrame, *, sample_lines: int | None = None) -> DataFrame:
+    """One row per file: ``standard`` or ``extended``, by the first line that tells.
+
+    All lines are looked at, unless the caller asks for the first ``sample_lines`` only.
+    """
+    return lines.groupBy("file").agg(_format(sample_lines).alias("file_format"))
 
 
 def _quoted(text: Column) -> Column:
@@ -114,28 +112,26 @@ def rejects(lines: DataFrame, formats: DataFrame) -> DataFrame:
     )
 
 
-def _early_details(lines: DataFrame) -> DataFrame:
-    """Per file: which kinds are among its first detail records.
-
-    The row limit reaches the map side, so a file of any size sends only a few
-    rows per task.
-    """
+def _early_details(lines: DataFrame, k: int) -> DataFrame:
+    """Per file: which kinds are among its first ``k`` details; the limit reaches the map side."""
     first = Window.partitionBy("file").orderBy("line_no")
+    t = F.col("t")
     return (
         lines.select("file", "line_no", detect_record_type(F.col("value")).alias("t"))
         .filter(F.length("t") == 4)
         .withColumn("rn", F.row_number().over(first))
-        .filter(F.col("rn") <= SAMPLE_DETAILS)
+        .filter(F.col("rn") <= k)
         .groupBy("file")
-        .agg(
-            F.bool_or(F.col("t").isin(*POV_DETAIL_TYPES)).alias("has_pov"),
-            F.bool_or(F.col("t").isin(*FAR_DETAIL_TYPES)).alias("has_far"),
-        )
+        .agg(F.bool_or(t.isin(*POV_DETAIL_TYPES)).alias("has_pov"), F.bool_or(t.isin(*FAR_DETAIL_TYPES)).alias("has_far"))
     )
 
 
-def file_metadata(lines: DataFrame) -> DataFrame:
-    """One row per file: format, kind, date, line counts and counts per record type."""
+def file_metadata(lines: DataFrame, *, sample_details: int | None = None) -> DataFrame:
+    """One row per file: format, kind, date, line counts and counts per record type.
+
+    Without a header the kind is told by the details: by all of them, or by the first
+    ``sample_details`` where the caller asks for that.
+    """
     value, line_no, t = F.col("value"), F.col("line_no"), F.col("t")
     typed = lines.withColumn("t", detect_record_type(value))
     unknown = t.isNull() & (strip(value) != "")
@@ -147,7 +143,9 @@ def file_metadata(lines: DataFrame) -> DataFrame:
         lambda _, n: n > 0,
     )
     stats = typed.groupBy("file").agg(
-        _format(SAMPLE_LINES).alias("file_format"),
+        _format().alias("file_format"),
+        F.bool_or(t.isin(*POV_DETAIL_TYPES)).alias("has_pov"),
+        F.bool_or(t.isin(*FAR_DETAIL_TYPES)).alias("has_far"),
         F.max_by(kind, F.when(kind.isNotNull(), line_no)).alias("header_kind"),
         F.max_by(date, F.when(t == "100", line_no)).alias("header_date"),
         F.count("*").alias("total_lines"),
@@ -160,7 +158,9 @@ def file_metadata(lines: DataFrame) -> DataFrame:
     extended = F.col("file_format") == EXTENDED
     inferred = F.when(extended & F.col("has_pov"), "POV").when(extended & F.col("has_far"), "FAR")
     named = F.when(extended, filename_date(F.col("file")))
-    return stats.join(_early_details(lines), "file", "left").select(
+    if sample_details is not None:
+        stats = stats.drop("has_pov", "has_far").join(_early_details(lines, sample_details), "file", "left")
+    return stats.select(
         "file",
         F.coalesce("header_kind", inferred, F.lit("")).alias("file_type"),
         "file_format",
@@ -179,3 +179,11 @@ def header_records(records: DataFrame) -> DataFrame:
 
 def detail_records(records: DataFrame) -> DataFrame:
     return records.filter(~F.col("record_type").isin(*HEADER_TYPES))
+
+
+def run_totals(files: DataFrame) -> DataFrame:
+    """One row for a run: the sums of ``file_metadata`` over its files."""
+    names = ("total_lines", "parsed_lines", "skipped_lines", "error_count")
+    return files.agg(
+        F.count(F.lit(1)).alias("files"), *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names)
+    )

@@ -73,7 +73,7 @@ def _limits(spark: SparkSession, sf: str) -> tuple[tuple[str, int], ...]:
 
 @lru_cache(maxsize=16)
 def _wide(spark: SparkSession, sf: str) -> DataFrame:
-    return flatten.flatten(_records(spark, sf), dict(_limits(spark, sf)))
+    return flatten.flatten(_records(spark, sf), dict(_limits(spark, sf)), counted=True)
 
 
 @lru_cache(maxsize=16)
@@ -459,7 +459,7 @@ def pass_fail_summary(spark, sf):
 
 @query
 def sample_failures(spark, sf):
-    return requests.sample_failures(_quotes(spark, sf).validation).select(
+    return requests.sample_failures(_quotes(spark, sf).validation, 10).select(
         "file", "PolNumber", "Failure_Reasons")
 
 

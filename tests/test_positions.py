@@ -83,8 +83,11 @@ def test_extended_metadata_from_name_and_details(spark, tmp_path):
     (tmp_path / "F.03202026.txt").write_text("\n".join(body) + "\n")
     far = [extended("4305", "C1") for _ in range(60)] + [extended("1301", "C1")]
     (tmp_path / "G.txt").write_text("\n".join(far) + "\n")
+    lines = fixed_width.scan_lines(spark, str(tmp_path))
+    whole = {r["file"].rsplit("/", 1)[1]: r["file_type"] for r in fixed_width.file_metadata(lines).collect()}
+    assert whole == {"F.03202026.txt": "POV", "G.txt": "POV"}
     rows = {r["file"].rsplit("/", 1)[1]: r
-            for r in fixed_width.file_metadata(fixed_width.scan_lines(spark, str(tmp_path))).collect()}
+            for r in fixed_width.file_metadata(lines, sample_details=50).collect()}
     f, g = rows["F.03202026.txt"], rows["G.txt"]
     assert (f["file_type"], f["file_format"], f["valuation_date"], f["error_count"]) == (
         "POV", "extended", "20260320", 1)
@@ -94,7 +97,7 @@ def test_extended_metadata_from_name_and_details(spark, tmp_path):
 @pytest.mark.parametrize("lines,expected", [
     ([], "standard"), (["HDR"], "standard"), ([line("100")], "standard"),
     ([extended("1301", "C")], "extended"), ([line("1301", "C")], "standard"),
-    (["", "   ", extended("1301", "C")], "extended"), (["odd"] * 20 + [extended("1301", "C")], "standard"),
+    (["", "   ", extended("1301", "C")], "extended"), (["odd"] * 20 + [extended("1301", "C")], "extended"),
 ])
 def test_detect_format(spark, lines, expected):
     df = spark.createDataFrame([("f", i, v) for i, v in enumerate(lines, 1)],
@@ -116,12 +119,38 @@ def test_flatten(standard):
 
 
 def test_flatten_refuses_limits_that_would_drop_records(spark, standard):
-    with pytest.raises(Exception, match="more than 2: use"):
-        flatten.flatten(standard.records, {"1301": 1, "1303": 2}, max_columns=2)
     three = spark.createDataFrame(
         [("f", i, line("1303", "C")) for i in range(3)], "file string, line_no bigint, value string")
-    with pytest.raises(Exception, match="more than 2 records of type 1303"):
-        flatten.flatten(records.parse_records(three), {"1303": 2}).collect()
+    with pytest.raises(Exception, match="3 records of type 1303, more than 2"):
+        flatten.flatten(records.parse_records(three), {"1303": 2})
+
+
+def test_flatten_with_many_lines_of_no_contract(spark):
+    """Stray lines do not widen the table; those without a column stay in the long form."""
+    lines = [line("1303", "", Fund_Value=f"{i}.00") for i in range(1500)] + [line("1303", "C", Fund_Value="1.00")] * 3
+    parsed = records.parse_records(spark.createDataFrame(
+        [("f", i, v) for i, v in enumerate(lines)], "file string, line_no bigint, value string"))
+    limits = records.occurrence_limits(parsed)
+    assert limits == {"1303": 3}
+    wide = {r["Contract_Number"]: r.asDict() for r in flatten.flatten(parsed).collect()}
+    assert [wide[records.NO_CONTRACT][f"1303_Fund_Value_{i}"] for i in (1, 2, 3)] == ["0.00", "1.00", "2.00"]
+    assert wide["C"]["1303_Fund_Value_3"] == "1.00"
+    assert flatten.flatten_long(parsed).count() == 1503
+    assert sorted(r["occ"] for r in flatten.unplaced(parsed, limits).collect()) == list(range(4, 1501))
+    report = reconcile.report(parsed, flatten.flatten(parsed)).first()
+    assert report["valid"] and report["total_fields_checked"] == 6 * 14
+
+
+def test_format_and_kind_beyond_the_first_lines(spark):
+    lines = ["odd"] * 300 + [line("1301", "C").ljust(300) + " " * 36] + ["y"] * 100
+    lines = [v if len(v) < 300 else (v + " " * 336)[:336] for v in lines]
+    df = spark.createDataFrame([("F.20260101.txt", i, v) for i, v in enumerate(lines, 1)],
+                               "file string, line_no bigint, value string")
+    assert fixed_width.detect_format(df).first()["file_format"] == "extended"
+    meta = fixed_width.file_metadata(df)
+    assert (meta.first()["file_format"], meta.first()["file_type"]) == ("extended", "POV")
+    totals = fixed_width.run_totals(meta).first()
+    assert (totals["files"], totals["total_lines"], totals["parsed_lines"]) == (1, 401, 1)
 
 
 def test_reconcile_valid_and_tampered(spark, standard):

@@ -13,10 +13,11 @@ How it stays whole and small:
 * A band's bucket never makes its pairs. It tests its members against one of them, the one
   that shares most buckets with others, so a group of copies meets in its middle. Links
   join into components; a bucket of one component is done.
-* The documents of the other buckets go to an exact join that needs no luck: shingles in
-  order of rarity, a linked pair must share one among the rarest of both (as many as
-  their sizes allow to differ). Pairs within a component are left out. So no pair that
-  could still join two components is lost, and no bucket or partner is capped.
+* What is left of other buckets is tested by pairs where it is a dozen or fewer. Larger
+  rests go to an exact join that needs no luck: shingles in order of rarity, a linked
+  pair must share one among the rarest of both (as many as their sizes allow to
+  differ). Pairs within a component are left out. So no pair that could still join two
+  components is lost, and no bucket or partner is capped.
 * Components are a loop of joins and aggregates on tables in the shared folder; only
   counts come to the driver.
 
@@ -37,7 +38,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import column, fresh_name, read, written
@@ -48,6 +49,8 @@ BANDS, ROWS = 64, 5
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
 CLASS = 1.1  # ratio of the sizes of a class in the exact join
+FEW = 12  # members of a bucket whose pairs are tested as they are; larger ones go to the exact join
+SPREAD = math.ceil(math.log(100 / PERCENT) / math.log(CLASS))
 DEVIATIONS = 6.0
 SLICE_BYTES = 2 << 20
 CACHE = 300_000
@@ -293,6 +296,30 @@ def _open(left: DataFrame) -> DataFrame:
     return written(left.join(keys.filter("lo < hi").select("key", "members"), "key").select("key", "id", "component", "members"), "minhash-open")
 
 
+def _class(n: str) -> Column:
+    """The class of a size; sizes that a link allows are at most ``SPREAD`` classes apart."""
+    return F.floor(F.log(n) / math.log(CLASS)).cast("int")
+
+
+def _matched(left: DataFrame, reps: DataFrame) -> DataFrame:
+    """``id, component`` of the members of buckets that meet another component of a size they could link with."""
+    size = reps.select("id", "n").distinct()
+    rows = left.select("key", "id", "component").join(size, "id").withColumn("own", _class("n"))
+    near = rows.select("key", "component", F.explode(F.sequence(F.col("own") - SPREAD, F.col("own") + SPREAD)).alias("own"))
+    near = near.groupBy("key", "own").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return rows.join(near, ["key", "own"]).filter("lo <> component OR hi <> component").select("id", "component").distinct()
+
+
+def few_pairs(left: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs of different components, of sizes that could link, in buckets of ``FEW`` members at most."""
+    rows = left.select("key", "id", "component").join(reps.select("id", "n").distinct(), "id")
+    one, two = (rows.select(*[F.col(c).alias(f"{c}{k}") for c in ("key", "id", "component", "n")]) for k in "ab")
+    near = (F.col("keya") == F.col("keyb")) & F.expr(
+        f"ida < idb AND componenta <> componentb AND 100 * na >= {PERCENT} * nb AND 100 * nb >= {PERCENT} * na"
+    )
+    return one.join(two, near).select(F.col("ida").alias("a"), F.col("idb").alias("b"))
+
+
 def middle_pairs(left: DataFrame) -> DataFrame:
     """Pairs of each bucket's middle, its member with most neighbours in all buckets, and its other members."""
     mass = left.groupBy("id").agg(F.sum("members").alias("mass"))
@@ -325,23 +352,22 @@ def rare_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
                     [pa.array(np.repeat(part.column(0).to_numpy(), n)), pa.array(np.repeat(n, n)), pa.array(shingle)], names=["id", "n", "s"]
                 )
 
-    rows = texts.join(members.select("id"), "id", "left_semi").mapInArrow(run, "id long, n long, s long").distinct()
-    rows = written(rows.join(members, "id"), "minhash-shingles")
-    rarity = rows.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    rows = texts.join(members.select("id"), "id", "left_semi").mapInArrow(run, "id long, n long, s long")
+    rows = written(rows, "minhash-shingles")
+    rarity = rows.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
     place = F.row_number().over(Window.partitionBy("id", "n").orderBy("df", "s"))  # a set's own shingles
-    log = F.floor(F.log("n") / math.log(CLASS)).cast("int")
-    spread = math.ceil(math.log(100 / PERCENT) / math.log(CLASS))
-    ranked = rows.join(rarity, "s").withColumn("place", place).filter("lo < hi").withColumn("own", log)
-    other = ranked.withColumn("other", F.explode(F.sequence(F.col("own") - spread, F.col("own") + spread)))
+    # No prefix is longer than for a partner of the smallest size; a shingle of one set alone is never shared.
+    ranked = rows.join(rarity, "s").withColumn("place", place).filter(f"df > 1 AND place <= ceil(n * {100 - PERCENT} / 100D) + 4")
+    other = ranked.withColumn("own", _class("n")).withColumn("other", F.explode(F.sequence(F.col("own") - SPREAD, F.col("own") + SPREAD)))
     # One less than the class begins with, for logarithms that round to the other side.
     least = F.greatest(F.floor(F.pow(F.lit(CLASS), F.col("other"))) - 1, F.ceil(F.col("n") * PERCENT / 100) - 1, F.lit(1))
     share = F.ceil((F.col("n") + least) * PERCENT / (100 + PERCENT) - 1e-9)
     length = F.col("n") - share + 1
     prefixes = (
         other.withColumn("length", length).filter("place <= length")
-        .groupBy("id", "n", "component", "own", "other", "length").agg(F.collect_list("s").alias("p"))  # as long as the prefix
+        .groupBy("id", "n", "own", "other", "length").agg(F.collect_list("s").alias("p"))  # as long as the prefix
     )
-    prefixes = written(prefixes, "minhash-rare")
+    prefixes = written(prefixes.join(members, "id"), "minhash-rare")
     one, two = (
         prefixes.select(F.explode("p").alias(f"s{k}"), *[F.col(c).alias(f"{c}{k}") for c in ("id", "n", "component", "own", "other", "length", "p")])
         for k in "ab"
@@ -400,11 +426,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     left = _open(known)
     if not left.isEmpty():
         plain = docs.select(column(docs, key).cast("long").alias("id"), column(docs, text).alias("text"))
-        texts = written(plain.join(left.select("id").distinct(), "id", "left_semi"), "minhash-texts")  # of all that share a bucket
+        texts = plain.join(left.select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "text"])
+        texts = written(texts, "minhash-texts")  # of all that share a bucket
         label = _joined(label, middle_pairs(left), reps, texts)
         rest = _open(left.select("key", "id").join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")))
         if not rest.isEmpty():
-            label = _joined(label, rare_pairs(texts, rest.select("id", "component").distinct()), reps, texts)
+            many = written(_matched(rest.filter(F.col("members") > FEW), reps), "minhash-rest")
+            pairs = few_pairs(rest.filter(F.col("members") <= FEW), reps).union(rare_pairs(texts, many)).distinct()
+            label = _joined(label, pairs, reps, texts)
     rep_of = classes.select("d1", "d2", "rep").join(label.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
         "d1", "d2", F.coalesce("component", "rep").alias("component_id")
     )

@@ -36,7 +36,7 @@ BITS = 32
 NEIGHBOURS = 20
 VECTOR_BLOCK = 8192
 QUERY_BLOCK = 1024
-SHARE = 0.45  # of a block's vectors, counted in all trees, that end the ascent
+SHARE = 0.8  # of a block's vectors, counted in all trees, that end the ascent
 SEED = 11
 
 
@@ -83,16 +83,22 @@ class Forest:
             open_[at[(hi[at] - lo[at]).sum(1) >= enough]] = False
         return lo, hi
 
-    def search(self, queries: np.ndarray, longest: float, normals: np.ndarray, enough: int):
-        """The candidates of each query, as row numbers of the block."""
+    def search(self, queries: np.ndarray, longest: float, normals: np.ndarray, share: float, least: int):
+        """The candidates of each query, as row numbers of the block.
+
+        The ascent ends with ``share`` of the block's size, counted over all trees, besides
+        one entry a tree, which the query itself may be. With fewer than ``least``
+        vectors by then it goes on to the roots.
+        """
         strings = hash_strings(queries, longest, normals, self.trees, self.bits)
-        lo, hi = self.ranges(strings, enough)
+        lo, hi = self.ranges(strings, self.trees + int(share * len(self.vectors)))
         for q in range(len(queries)):
             seen = np.zeros(len(self.vectors), bool)
             for t in range(self.trees):
                 if hi[q, t] > lo[q, t]:
                     seen[self.order[lo[q, t] : hi[q, t], t]] = True
-            yield np.flatnonzero(seen)
+            found = np.flatnonzero(seen)
+            yield found if len(found) >= least else np.arange(len(self.vectors))
 
 
 def nearest(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 20, k: int = NEIGHBOURS,
@@ -138,7 +144,7 @@ def nearest(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", eve
         lead = np.array([i[0] for i in ids])
         out = [[], [], []]
         asker = askers_.column("id").to_pylist()
-        for n, found in enumerate(forest.search(q, longest, normals, max(k + 1, int(share * len(x))))):
+        for n, found in enumerate(forest.search(q, longest, normals, share, k + 1)):
             score = exact(x[found], q[n])
             if len(found) > k + 1:  # enough entries for k ids besides the query's own, with all ties
                 cut = np.partition(score, len(score) - k - 1)[len(score) - k - 1]

@@ -14,6 +14,7 @@ WHITESPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
 # Product codes at the end of a contract number.
 CONTRACT_SUFFIXES = ("MV", "XE", "TR")
 
+# A producer number, and dates in file names with the year first or last.
 PRODUCER_PATTERN = r"N(\d{5,10})"
 DATE_YEAR_FIRST = r"(20\d{2})(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])"
 DATE_YEAR_LAST = r"(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])(20\d{2})"

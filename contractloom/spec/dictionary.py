@@ -1,12 +1,11 @@
 """The data dictionary of the withdrawal-quote request: 132 string columns.
 
-Most columns come in pairs, the ``tc`` code and the text of one XML element, and
-most groups repeat per role, so the dictionary is put together by rule.
+Most columns come in pairs, the ``tc`` code and the text of one XML element, and most
+groups repeat per role.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,128 +47,6 @@ class Entry:
     spark_type = "STRING"
 
 
-def _pair(column: str, group: str, tag: str, code_len: int, text_len: int, *, codes=(), texts=(),
-          required=True, conditional="", fixed="") -> Iterator[Entry]:
-    """The code column and the text column of one element."""
-    yield Entry(f"{column}_tc", group, tag, required, conditional, fixed,
-                f"Code of {tag}", code_len, "", tuple(codes))
-    yield Entry(f"{column}_text", group, f"{tag}_text", required, conditional, "",
-                f"Text of {tag}", text_len, "", tuple(texts))
-
-
-def _soap() -> Iterator[Entry]:
-    g = "soap"
-    yield Entry("SoapEnvelopeNs", g, "Envelope", description="Namespace of the envelope",
-                allowed_values=(SOAP_NS,))
-    yield Entry("SoapBodyPresent", g, "Body", description="1 when the body is there",
-                max_length=1, regex=FLAG, allowed_values=("1",))
-    yield Entry("OperationName", g, OPERATION, description="Name of the operation", max_length=50)
-    yield Entry("OperationNs", g, "operationNs", description="Namespace of the operation",
-                allowed_values=(OPERATION_NS,))
-    yield Entry("MessageType", g, MESSAGE, description="Name of the message element", max_length=20)
-
-
-def _request() -> Iterator[Entry]:
-    g = "txlife_request"
-    yield Entry("TXLifeRequest_PrimaryObjectID", g, "TXLifeRequest",
-                description="Object the request is about", max_length=50)
-    yield Entry("TransRefGUID", g, "TransRefGUID", description="Identifier of the request",
-                max_length=36, regex="^[0-9a-zA-Z\\-]{20,36}$")
-    yield from _pair("TransType", g, "TransType", 10, 50,
-                     codes=["212"], texts=["Values Inquiry"], fixed="212")
-    yield from _pair("TransSubType", g, "TransSubType", 10, 50,
-                     codes=["21208"], texts=["Withdrawal Quote"], fixed="21208")
-    yield Entry("TransExeDate", g, "TransExeDate", description="Date of the request",
-                max_length=10, regex="^\\d{4}-\\d{2}-\\d{2}$")
-    yield Entry("TransExeTime", g, "TransExeTime", description="Time of the request, with zone",
-                max_length=20)
-    yield from _pair("PendingResponseOK", g, "PendingResponseOK", 5, 10,
-                     codes=["0", "1"], texts=["False", "True"], fixed="0")
-
-
-def _holding() -> Iterator[Entry]:
-    g = "holding"
-    yield Entry("Holding_id", g, "Holding", description="Id of the holding", max_length=50)
-    yield from _pair("HoldingTypeCode", g, "HoldingTypeCode", 5, 20,
-                     codes=["2"], texts=["Policy"], fixed="2")
-    yield Entry("DistributorClientAcctNum", g, "DistributorClientAcctNum", False, PER_CARRIER,
-                description="Account at the distributor", max_length=30)
-
-
-def _policy() -> Iterator[Entry]:
-    g = "policy"
-    yield Entry("Policy_CarrierPartyID", g, "Policy", description="Party id of the carrier",
-                max_length=50)
-    yield Entry("PolNumber", g, "PolNumber", description="Policy number",
-                max_length=30, regex="^[A-Za-z0-9\\-]+$")
-    yield Entry("Policy_CarrierCode", g, "CarrierCode", description="Carrier code of the policy",
-                max_length=10, regex=DIGITS)
-    yield Entry("CusipNum", g, "CusipNum", False, PER_CARRIER, description="Security identifier",
-                max_length=15)
-    yield Entry("Annuity_present", g, "Annuity", description="1 when the annuity element is there",
-                max_length=1, regex=FLAG, allowed_values=("0", "1"))
-
-
-def _arrangement() -> Iterator[Entry]:
-    g = "arrangement"
-    yield from _pair("ArrMode", g, "ArrMode", 5, 30)
-    yield from _pair("ArrType", g, "ArrType", 20, 50)
-    yield from _pair("ArrSubType", g, "ArrSubType", 5, 50)
-    yield Entry("ModalAmt", g, "ModalAmt", False, WHEN_SPECIFIED_AMOUNT,
-                description="Amount to withdraw", max_length=20)
-    yield from _pair("SourceTransferAmtType", g, "SourceTransferAmtType", 5, 50)
-
-
-def _withholding(column: str, group: str, code: str, place: str) -> Iterator[Entry]:
-    tag = "TaxWithholding"
-    yield Entry(f"{column}_id", group, tag, description=f"Id of the {place} withholding",
-                max_length=20)
-    yield Entry(f"{column}_AppliesToPartyID", group, f"{tag}_AppliesTo",
-                description=f"Party the {place} withholding is for", max_length=50)
-    yield from _pair(f"{column}_Place", group, f"{tag}Place", 5, 20,
-                     codes=[code], texts=[place], fixed=code)
-    yield from _pair(f"{column}_Type", group, f"{tag}Type", 5, 20)
-
-
-def _extension() -> Iterator[Entry]:
-    g, ext = "olife_extension", "OLifEExtension"
-    yield Entry(f"{ext}_VendorCode", g, ext, False, WHEN_QUALIFIED,
-                description="Vendor code of the extension", max_length=10)
-    yield Entry(f"{ext}_ExtensionCode", g, f"{ext}_ext", False, WHEN_QUALIFIED,
-                description="Code of the extension", max_length=10)
-    yield from _pair("AmountQualifier", g, "AmountQualifier", 5, 20,
-                     required=False, conditional=WHEN_SPECIFIED)
-
-
-def _party(role: str, group: str, *, person: bool, producer=False, carrier=False,
-           required=True, conditional="") -> Iterator[Entry]:
-    p = f"Party_{role}"
-
-    def one(suffix: str, tag: str, length: int, **kw) -> Entry:
-        kw = {"required": required, "conditional": conditional, **kw}
-        return Entry(f"{p}_{suffix}", group, tag, description=f"{tag} of {role}",
-                     max_length=length, **kw)
-
-    kinds = {"codes": ["1", "2"], "texts": ["Person", "Organization"]} if person else \
-        {"codes": ["2"], "texts": ["Organization"], "fixed": "2"}
-    yield one("id", "Party", 50)
-    yield from _pair(f"{p}_PartyTypeCode", group, "PartyTypeCode", 5, 20,
-                     required=required, conditional=conditional, **kinds)
-    if person:
-        yield one("FirstName", "FirstName", 50)
-        yield one("LastName", "LastName", 50)
-        if producer:
-            yield one("NIPRNumber", "NIPRNumber", 20, required=False, conditional=PER_CARRIER)
-        yield one("IDPart", "IdentificationPart", 10)
-        yield from _pair(f"{p}_PartialIDType", group, "PartialIDType", 5, 20,
-                         required=required, conditional=conditional)
-    else:
-        yield one("DTCCMemberCode", "DTCCMemberCode", 10)
-        yield one("DTCCAssociatedMemberCode", "DTCCAssociatedMemberCode", 10)
-        if carrier:
-            yield one("CarrierCode", "CarrierCode", 10, regex=DIGITS)
-
-
 # Role, role code, role text, party.
 RELATIONS = (
     ("Agent", "38", "Servicing Agent", "Party_Agent"),
@@ -179,49 +56,293 @@ RELATIONS = (
     ("Annuitant", "35", "Annuitant", "Party_PrimaryAnnuitant"),
 )
 
-
-def _relation(role: str, code: str, text: str) -> Iterator[Entry]:
-    p, g = f"Relation_{role}", f"relation_{role.lower()}"
-    need = {"required": False, "conditional": WHEN_ANNUITANT} if role == "Annuitant" else {}
-    for suffix, tag in (("id", "Relation"), ("OriginatingObjectID", "OriginatingObjectID"),
-                        ("RelatedObjectID", "RelatedObjectID")):
-        yield Entry(f"{p}_{suffix}", g, tag, description=f"{tag} of {role}", max_length=50, **need)
-    for suffix, tag, length, tc, value in (
-        ("OriginatingObjectType", "OriginatingObjectType", 20, "4", "Holding"),
-        ("RelatedObjectType", "RelatedObjectType", 20, "6", "Party"),
-        ("RoleCode", "RelationRoleCode", 30, code, text),
-    ):
-        yield from _pair(f"{p}_{suffix}", g, tag, 5, length,
-                         codes=[tc], texts=[value], fixed=tc, **need)
-
-
-def _metadata() -> Iterator[Entry]:
-    yield Entry("ExpectedToPass", "metadata", "", False, description="1 when the row should pass",
-                max_length=1, regex=FLAG, allowed_values=("0", "1"))
-    yield Entry("FailureReason", "metadata", "", False, description="Why the row should fail")
-
-
-def _all() -> Iterator[Entry]:
-    yield from _soap()
-    yield from _request()
-    yield from _holding()
-    yield from _policy()
-    yield from _arrangement()
-    yield from _withholding("TaxFed", "tax_fed", "1", "Federal")
-    yield from _withholding("TaxState", "tax_state", "2", "State")
-    yield from _extension()
-    yield from _party("Agent", "party_agent", person=True, producer=True)
-    yield from _party("Distributor", "party_distributor", person=False)
-    yield from _party("Carrier", "party_carrier", person=False, carrier=True)
-    yield from _party("PrimaryOwner", "party_owner", person=True)
-    yield from _party("PrimaryAnnuitant", "party_annuitant", person=True,
-                      required=False, conditional=PER_CARRIER)
-    for role, code, text, _ in RELATIONS:
-        yield from _relation(role, code, text)
-    yield from _metadata()
-
-
-DICTIONARY: tuple[Entry, ...] = tuple(_all())
+# The dictionary. Column, group, element, required, condition, code,
+# description, greatest length (0: none), pattern, allowed values (none: any).
+DICTIONARY: tuple[Entry, ...] = (
+    # soap
+    Entry("SoapEnvelopeNs", "soap", "Envelope", True, "", "",
+          "Namespace of the envelope", 0, "", ("http://www.w3.org/2003/05/soap-envelope",)),
+    Entry("SoapBodyPresent", "soap", "Body", True, "", "",
+          "1 when the body is there", 1, FLAG, ("1",)),
+    Entry("OperationName", "soap", "processValueInquiry21208", True, "", "",
+          "Name of the operation", 50, "", ()),
+    Entry("OperationNs", "soap", "operationNs", True, "", "",
+          "Namespace of the operation", 0, "", ("http://service.iwa.dtcc.com/",)),
+    Entry("MessageType", "soap", "VI21208_Msg", True, "", "",
+          "Name of the message element", 20, "", ()),
+    # txlife_request
+    Entry("TXLifeRequest_PrimaryObjectID", "txlife_request", "TXLifeRequest", True, "", "",
+          "Object the request is about", 50, "", ()),
+    Entry("TransRefGUID", "txlife_request", "TransRefGUID", True, "", "",
+          "Identifier of the request", 36, "^[0-9a-zA-Z\\-]{20,36}$", ()),
+    Entry("TransType_tc", "txlife_request", "TransType", True, "", "212",
+          "Code of TransType", 10, "", ("212",)),
+    Entry("TransType_text", "txlife_request", "TransType_text", True, "", "",
+          "Text of TransType", 50, "", ("Values Inquiry",)),
+    Entry("TransSubType_tc", "txlife_request", "TransSubType", True, "", "21208",
+          "Code of TransSubType", 10, "", ("21208",)),
+    Entry("TransSubType_text", "txlife_request", "TransSubType_text", True, "", "",
+          "Text of TransSubType", 50, "", ("Withdrawal Quote",)),
+    Entry("TransExeDate", "txlife_request", "TransExeDate", True, "", "",
+          "Date of the request", 10, "^\\d{4}-\\d{2}-\\d{2}$", ()),
+    Entry("TransExeTime", "txlife_request", "TransExeTime", True, "", "",
+          "Time of the request, with zone", 20, "", ()),
+    Entry("PendingResponseOK_tc", "txlife_request", "PendingResponseOK", True, "", "0",
+          "Code of PendingResponseOK", 5, "", ("0", "1")),
+    Entry("PendingResponseOK_text", "txlife_request", "PendingResponseOK_text", True, "", "",
+          "Text of PendingResponseOK", 10, "", ("False", "True")),
+    # holding
+    Entry("Holding_id", "holding", "Holding", True, "", "",
+          "Id of the holding", 50, "", ()),
+    Entry("HoldingTypeCode_tc", "holding", "HoldingTypeCode", True, "", "2",
+          "Code of HoldingTypeCode", 5, "", ("2",)),
+    Entry("HoldingTypeCode_text", "holding", "HoldingTypeCode_text", True, "", "",
+          "Text of HoldingTypeCode", 20, "", ("Policy",)),
+    Entry("DistributorClientAcctNum", "holding", "DistributorClientAcctNum", False, PER_CARRIER, "",
+          "Account at the distributor", 30, "", ()),
+    # policy
+    Entry("Policy_CarrierPartyID", "policy", "Policy", True, "", "",
+          "Party id of the carrier", 50, "", ()),
+    Entry("PolNumber", "policy", "PolNumber", True, "", "",
+          "Policy number", 30, "^[A-Za-z0-9\\-]+$", ()),
+    Entry("Policy_CarrierCode", "policy", "CarrierCode", True, "", "",
+          "Carrier code of the policy", 10, DIGITS, ()),
+    Entry("CusipNum", "policy", "CusipNum", False, PER_CARRIER, "",
+          "Security identifier", 15, "", ()),
+    Entry("Annuity_present", "policy", "Annuity", True, "", "",
+          "1 when the annuity element is there", 1, FLAG, ("0", "1")),
+    # arrangement
+    Entry("ArrMode_tc", "arrangement", "ArrMode", True, "", "",
+          "Code of ArrMode", 5, "", ()),
+    Entry("ArrMode_text", "arrangement", "ArrMode_text", True, "", "",
+          "Text of ArrMode", 30, "", ()),
+    Entry("ArrType_tc", "arrangement", "ArrType", True, "", "",
+          "Code of ArrType", 20, "", ()),
+    Entry("ArrType_text", "arrangement", "ArrType_text", True, "", "",
+          "Text of ArrType", 50, "", ()),
+    Entry("ArrSubType_tc", "arrangement", "ArrSubType", True, "", "",
+          "Code of ArrSubType", 5, "", ()),
+    Entry("ArrSubType_text", "arrangement", "ArrSubType_text", True, "", "",
+          "Text of ArrSubType", 50, "", ()),
+    Entry("ModalAmt", "arrangement", "ModalAmt", False, WHEN_SPECIFIED_AMOUNT, "",
+          "Amount to withdraw", 20, "", ()),
+    Entry("SourceTransferAmtType_tc", "arrangement", "SourceTransferAmtType", True, "", "",
+          "Code of SourceTransferAmtType", 5, "", ()),
+    Entry("SourceTransferAmtType_text", "arrangement", "SourceTransferAmtType_text", True, "", "",
+          "Text of SourceTransferAmtType", 50, "", ()),
+    # tax_fed
+    Entry("TaxFed_id", "tax_fed", "TaxWithholding", True, "", "",
+          "Id of the Federal withholding", 20, "", ()),
+    Entry("TaxFed_AppliesToPartyID", "tax_fed", "TaxWithholding_AppliesTo", True, "", "",
+          "Party the Federal withholding is for", 50, "", ()),
+    Entry("TaxFed_Place_tc", "tax_fed", "TaxWithholdingPlace", True, "", "1",
+          "Code of TaxWithholdingPlace", 5, "", ("1",)),
+    Entry("TaxFed_Place_text", "tax_fed", "TaxWithholdingPlace_text", True, "", "",
+          "Text of TaxWithholdingPlace", 20, "", ("Federal",)),
+    Entry("TaxFed_Type_tc", "tax_fed", "TaxWithholdingType", True, "", "",
+          "Code of TaxWithholdingType", 5, "", ()),
+    Entry("TaxFed_Type_text", "tax_fed", "TaxWithholdingType_text", True, "", "",
+          "Text of TaxWithholdingType", 20, "", ()),
+    # tax_state
+    Entry("TaxState_id", "tax_state", "TaxWithholding", True, "", "",
+          "Id of the State withholding", 20, "", ()),
+    Entry("TaxState_AppliesToPartyID", "tax_state", "TaxWithholding_AppliesTo", True, "", "",
+          "Party the State withholding is for", 50, "", ()),
+    Entry("TaxState_Place_tc", "tax_state", "TaxWithholdingPlace", True, "", "2",
+          "Code of TaxWithholdingPlace", 5, "", ("2",)),
+    Entry("TaxState_Place_text", "tax_state", "TaxWithholdingPlace_text", True, "", "",
+          "Text of TaxWithholdingPlace", 20, "", ("State",)),
+    Entry("TaxState_Type_tc", "tax_state", "TaxWithholdingType", True, "", "",
+          "Code of TaxWithholdingType", 5, "", ()),
+    Entry("TaxState_Type_text", "tax_state", "TaxWithholdingType_text", True, "", "",
+          "Text of TaxWithholdingType", 20, "", ()),
+    # olife_extension
+    Entry("OLifEExtension_VendorCode", "olife_extension", "OLifEExtension", False, WHEN_QUALIFIED, "",
+          "Vendor code of the extension", 10, "", ()),
+    Entry("OLifEExtension_ExtensionCode", "olife_extension", "OLifEExtension_ext", False, WHEN_QUALIFIED, "",
+          "Code of the extension", 10, "", ()),
+    Entry("AmountQualifier_tc", "olife_extension", "AmountQualifier", False, WHEN_SPECIFIED, "",
+          "Code of AmountQualifier", 5, "", ()),
+    Entry("AmountQualifier_text", "olife_extension", "AmountQualifier_text", False, WHEN_SPECIFIED, "",
+          "Text of AmountQualifier", 20, "", ()),
+    # party_agent
+    Entry("Party_Agent_id", "party_agent", "Party", True, "", "",
+          "Party of Agent", 50, "", ()),
+    Entry("Party_Agent_PartyTypeCode_tc", "party_agent", "PartyTypeCode", True, "", "",
+          "Code of PartyTypeCode", 5, "", ("1", "2")),
+    Entry("Party_Agent_PartyTypeCode_text", "party_agent", "PartyTypeCode_text", True, "", "",
+          "Text of PartyTypeCode", 20, "", ("Person", "Organization")),
+    Entry("Party_Agent_FirstName", "party_agent", "FirstName", True, "", "",
+          "FirstName of Agent", 50, "", ()),
+    Entry("Party_Agent_LastName", "party_agent", "LastName", True, "", "",
+          "LastName of Agent", 50, "", ()),
+    Entry("Party_Agent_NIPRNumber", "party_agent", "NIPRNumber", False, PER_CARRIER, "",
+          "NIPRNumber of Agent", 20, "", ()),
+    Entry("Party_Agent_IDPart", "party_agent", "IdentificationPart", True, "", "",
+          "IdentificationPart of Agent", 10, "", ()),
+    Entry("Party_Agent_PartialIDType_tc", "party_agent", "PartialIDType", True, "", "",
+          "Code of PartialIDType", 5, "", ()),
+    Entry("Party_Agent_PartialIDType_text", "party_agent", "PartialIDType_text", True, "", "",
+          "Text of PartialIDType", 20, "", ()),
+    # party_distributor
+    Entry("Party_Distributor_id", "party_distributor", "Party", True, "", "",
+          "Party of Distributor", 50, "", ()),
+    Entry("Party_Distributor_PartyTypeCode_tc", "party_distributor", "PartyTypeCode", True, "", "2",
+          "Code of PartyTypeCode", 5, "", ("2",)),
+    Entry("Party_Distributor_PartyTypeCode_text", "party_distributor", "PartyTypeCode_text", True, "", "",
+          "Text of PartyTypeCode", 20, "", ("Organization",)),
+    Entry("Party_Distributor_DTCCMemberCode", "party_distributor", "DTCCMemberCode", True, "", "",
+          "DTCCMemberCode of Distributor", 10, "", ()),
+    Entry("Party_Distributor_DTCCAssociatedMemberCode", "party_distributor", "DTCCAssociatedMemberCode", True, "", "",
+          "DTCCAssociatedMemberCode of Distributor", 10, "", ()),
+    # party_carrier
+    Entry("Party_Carrier_id", "party_carrier", "Party", True, "", "",
+          "Party of Carrier", 50, "", ()),
+    Entry("Party_Carrier_PartyTypeCode_tc", "party_carrier", "PartyTypeCode", True, "", "2",
+          "Code of PartyTypeCode", 5, "", ("2",)),
+    Entry("Party_Carrier_PartyTypeCode_text", "party_carrier", "PartyTypeCode_text", True, "", "",
+          "Text of PartyTypeCode", 20, "", ("Organization",)),
+    Entry("Party_Carrier_DTCCMemberCode", "party_carrier", "DTCCMemberCode", True, "", "",
+          "DTCCMemberCode of Carrier", 10, "", ()),
+    Entry("Party_Carrier_DTCCAssociatedMemberCode", "party_carrier", "DTCCAssociatedMemberCode", True, "", "",
+          "DTCCAssociatedMemberCode of Carrier", 10, "", ()),
+    Entry("Party_Carrier_CarrierCode", "party_carrier", "CarrierCode", True, "", "",
+          "CarrierCode of Carrier", 10, DIGITS, ()),
+    # party_owner
+    Entry("Party_PrimaryOwner_id", "party_owner", "Party", True, "", "",
+          "Party of PrimaryOwner", 50, "", ()),
+    Entry("Party_PrimaryOwner_PartyTypeCode_tc", "party_owner", "PartyTypeCode", True, "", "",
+          "Code of PartyTypeCode", 5, "", ("1", "2")),
+    Entry("Party_PrimaryOwner_PartyTypeCode_text", "party_owner", "PartyTypeCode_text", True, "", "",
+          "Text of PartyTypeCode", 20, "", ("Person", "Organization")),
+    Entry("Party_PrimaryOwner_FirstName", "party_owner", "FirstName", True, "", "",
+          "FirstName of PrimaryOwner", 50, "", ()),
+    Entry("Party_PrimaryOwner_LastName", "party_owner", "LastName", True, "", "",
+          "LastName of PrimaryOwner", 50, "", ()),
+    Entry("Party_PrimaryOwner_IDPart", "party_owner", "IdentificationPart", True, "", "",
+          "IdentificationPart of PrimaryOwner", 10, "", ()),
+    Entry("Party_PrimaryOwner_PartialIDType_tc", "party_owner", "PartialIDType", True, "", "",
+          "Code of PartialIDType", 5, "", ()),
+    Entry("Party_PrimaryOwner_PartialIDType_text", "party_owner", "PartialIDType_text", True, "", "",
+          "Text of PartialIDType", 20, "", ()),
+    # party_annuitant
+    Entry("Party_PrimaryAnnuitant_id", "party_annuitant", "Party", False, PER_CARRIER, "",
+          "Party of PrimaryAnnuitant", 50, "", ()),
+    Entry("Party_PrimaryAnnuitant_PartyTypeCode_tc", "party_annuitant", "PartyTypeCode", False, PER_CARRIER, "",
+          "Code of PartyTypeCode", 5, "", ("1", "2")),
+    Entry("Party_PrimaryAnnuitant_PartyTypeCode_text", "party_annuitant", "PartyTypeCode_text", False, PER_CARRIER, "",
+          "Text of PartyTypeCode", 20, "", ("Person", "Organization")),
+    Entry("Party_PrimaryAnnuitant_FirstName", "party_annuitant", "FirstName", False, PER_CARRIER, "",
+          "FirstName of PrimaryAnnuitant", 50, "", ()),
+    Entry("Party_PrimaryAnnuitant_LastName", "party_annuitant", "LastName", False, PER_CARRIER, "",
+          "LastName of PrimaryAnnuitant", 50, "", ()),
+    Entry("Party_PrimaryAnnuitant_IDPart", "party_annuitant", "IdentificationPart", False, PER_CARRIER, "",
+          "IdentificationPart of PrimaryAnnuitant", 10, "", ()),
+    Entry("Party_PrimaryAnnuitant_PartialIDType_tc", "party_annuitant", "PartialIDType", False, PER_CARRIER, "",
+          "Code of PartialIDType", 5, "", ()),
+    Entry("Party_PrimaryAnnuitant_PartialIDType_text", "party_annuitant", "PartialIDType_text", False, PER_CARRIER, "",
+          "Text of PartialIDType", 20, "", ()),
+    # relation_agent
+    Entry("Relation_Agent_id", "relation_agent", "Relation", True, "", "",
+          "Relation of Agent", 50, "", ()),
+    Entry("Relation_Agent_OriginatingObjectID", "relation_agent", "OriginatingObjectID", True, "", "",
+          "OriginatingObjectID of Agent", 50, "", ()),
+    Entry("Relation_Agent_RelatedObjectID", "relation_agent", "RelatedObjectID", True, "", "",
+          "RelatedObjectID of Agent", 50, "", ()),
+    Entry("Relation_Agent_OriginatingObjectType_tc", "relation_agent", "OriginatingObjectType", True, "", "4",
+          "Code of OriginatingObjectType", 5, "", ("4",)),
+    Entry("Relation_Agent_OriginatingObjectType_text", "relation_agent", "OriginatingObjectType_text", True, "", "",
+          "Text of OriginatingObjectType", 20, "", ("Holding",)),
+    Entry("Relation_Agent_RelatedObjectType_tc", "relation_agent", "RelatedObjectType", True, "", "6",
+          "Code of RelatedObjectType", 5, "", ("6",)),
+    Entry("Relation_Agent_RelatedObjectType_text", "relation_agent", "RelatedObjectType_text", True, "", "",
+          "Text of RelatedObjectType", 20, "", ("Party",)),
+    Entry("Relation_Agent_RoleCode_tc", "relation_agent", "RelationRoleCode", True, "", "38",
+          "Code of RelationRoleCode", 5, "", ("38",)),
+    Entry("Relation_Agent_RoleCode_text", "relation_agent", "RelationRoleCode_text", True, "", "",
+          "Text of RelationRoleCode", 30, "", ("Servicing Agent",)),
+    # relation_distributor
+    Entry("Relation_Distributor_id", "relation_distributor", "Relation", True, "", "",
+          "Relation of Distributor", 50, "", ()),
+    Entry("Relation_Distributor_OriginatingObjectID", "relation_distributor", "OriginatingObjectID", True, "", "",
+          "OriginatingObjectID of Distributor", 50, "", ()),
+    Entry("Relation_Distributor_RelatedObjectID", "relation_distributor", "RelatedObjectID", True, "", "",
+          "RelatedObjectID of Distributor", 50, "", ()),
+    Entry("Relation_Distributor_OriginatingObjectType_tc", "relation_distributor", "OriginatingObjectType", True, "", "4",
+          "Code of OriginatingObjectType", 5, "", ("4",)),
+    Entry("Relation_Distributor_OriginatingObjectType_text", "relation_distributor", "OriginatingObjectType_text", True, "", "",
+          "Text of OriginatingObjectType", 20, "", ("Holding",)),
+    Entry("Relation_Distributor_RelatedObjectType_tc", "relation_distributor", "RelatedObjectType", True, "", "6",
+          "Code of RelatedObjectType", 5, "", ("6",)),
+    Entry("Relation_Distributor_RelatedObjectType_text", "relation_distributor", "RelatedObjectType_text", True, "", "",
+          "Text of RelatedObjectType", 20, "", ("Party",)),
+    Entry("Relation_Distributor_RoleCode_tc", "relation_distributor", "RelationRoleCode", True, "", "83",
+          "Code of RelationRoleCode", 5, "", ("83",)),
+    Entry("Relation_Distributor_RoleCode_text", "relation_distributor", "RelationRoleCode_text", True, "", "",
+          "Text of RelationRoleCode", 30, "", ("Broker Dealer",)),
+    # relation_carrier
+    Entry("Relation_Carrier_id", "relation_carrier", "Relation", True, "", "",
+          "Relation of Carrier", 50, "", ()),
+    Entry("Relation_Carrier_OriginatingObjectID", "relation_carrier", "OriginatingObjectID", True, "", "",
+          "OriginatingObjectID of Carrier", 50, "", ()),
+    Entry("Relation_Carrier_RelatedObjectID", "relation_carrier", "RelatedObjectID", True, "", "",
+          "RelatedObjectID of Carrier", 50, "", ()),
+    Entry("Relation_Carrier_OriginatingObjectType_tc", "relation_carrier", "OriginatingObjectType", True, "", "4",
+          "Code of OriginatingObjectType", 5, "", ("4",)),
+    Entry("Relation_Carrier_OriginatingObjectType_text", "relation_carrier", "OriginatingObjectType_text", True, "", "",
+          "Text of OriginatingObjectType", 20, "", ("Holding",)),
+    Entry("Relation_Carrier_RelatedObjectType_tc", "relation_carrier", "RelatedObjectType", True, "", "6",
+          "Code of RelatedObjectType", 5, "", ("6",)),
+    Entry("Relation_Carrier_RelatedObjectType_text", "relation_carrier", "RelatedObjectType_text", True, "", "",
+          "Text of RelatedObjectType", 20, "", ("Party",)),
+    Entry("Relation_Carrier_RoleCode_tc", "relation_carrier", "RelationRoleCode", True, "", "87",
+          "Code of RelationRoleCode", 5, "", ("87",)),
+    Entry("Relation_Carrier_RoleCode_text", "relation_carrier", "RelationRoleCode_text", True, "", "",
+          "Text of RelationRoleCode", 30, "", ("Carrier",)),
+    # relation_owner
+    Entry("Relation_Owner_id", "relation_owner", "Relation", True, "", "",
+          "Relation of Owner", 50, "", ()),
+    Entry("Relation_Owner_OriginatingObjectID", "relation_owner", "OriginatingObjectID", True, "", "",
+          "OriginatingObjectID of Owner", 50, "", ()),
+    Entry("Relation_Owner_RelatedObjectID", "relation_owner", "RelatedObjectID", True, "", "",
+          "RelatedObjectID of Owner", 50, "", ()),
+    Entry("Relation_Owner_OriginatingObjectType_tc", "relation_owner", "OriginatingObjectType", True, "", "4",
+          "Code of OriginatingObjectType", 5, "", ("4",)),
+    Entry("Relation_Owner_OriginatingObjectType_text", "relation_owner", "OriginatingObjectType_text", True, "", "",
+          "Text of OriginatingObjectType", 20, "", ("Holding",)),
+    Entry("Relation_Owner_RelatedObjectType_tc", "relation_owner", "RelatedObjectType", True, "", "6",
+          "Code of RelatedObjectType", 5, "", ("6",)),
+    Entry("Relation_Owner_RelatedObjectType_text", "relation_owner", "RelatedObjectType_text", True, "", "",
+          "Text of RelatedObjectType", 20, "", ("Party",)),
+    Entry("Relation_Owner_RoleCode_tc", "relation_owner", "RelationRoleCode", True, "", "8",
+          "Code of RelationRoleCode", 5, "", ("8",)),
+    Entry("Relation_Owner_RoleCode_text", "relation_owner", "RelationRoleCode_text", True, "", "",
+          "Text of RelationRoleCode", 30, "", ("Owner",)),
+    # relation_annuitant
+    Entry("Relation_Annuitant_id", "relation_annuitant", "Relation", False, WHEN_ANNUITANT, "",
+          "Relation of Annuitant", 50, "", ()),
+    Entry("Relation_Annuitant_OriginatingObjectID", "relation_annuitant", "OriginatingObjectID", False, WHEN_ANNUITANT, "",
+          "OriginatingObjectID of Annuitant", 50, "", ()),
+    Entry("Relation_Annuitant_RelatedObjectID", "relation_annuitant", "RelatedObjectID", False, WHEN_ANNUITANT, "",
+          "RelatedObjectID of Annuitant", 50, "", ()),
+    Entry("Relation_Annuitant_OriginatingObjectType_tc", "relation_annuitant", "OriginatingObjectType", False, WHEN_ANNUITANT, "4",
+          "Code of OriginatingObjectType", 5, "", ("4",)),
+    Entry("Relation_Annuitant_OriginatingObjectType_text", "relation_annuitant", "OriginatingObjectType_text", False, WHEN_ANNUITANT, "",
+          "Text of OriginatingObjectType", 20, "", ("Holding",)),
+    Entry("Relation_Annuitant_RelatedObjectType_tc", "relation_annuitant", "RelatedObjectType", False, WHEN_ANNUITANT, "6",
+          "Code of RelatedObjectType", 5, "", ("6",)),
+    Entry("Relation_Annuitant_RelatedObjectType_text", "relation_annuitant", "RelatedObjectType_text", False, WHEN_ANNUITANT, "",
+          "Text of RelatedObjectType", 20, "", ("Party",)),
+    Entry("Relation_Annuitant_RoleCode_tc", "relation_annuitant", "RelationRoleCode", False, WHEN_ANNUITANT, "35",
+          "Code of RelationRoleCode", 5, "", ("35",)),
+    Entry("Relation_Annuitant_RoleCode_text", "relation_annuitant", "RelationRoleCode_text", False, WHEN_ANNUITANT, "",
+          "Text of RelationRoleCode", 30, "", ("Annuitant",)),
+    # metadata
+    Entry("ExpectedToPass", "metadata", "", False, "", "",
+          "1 when the row should pass", 1, FLAG, ("0", "1")),
+    Entry("FailureReason", "metadata", "", False, "", "",
+          "Why the row should fail", 0, "", ()),
+)
 COLUMNS: tuple[str, ...] = tuple(e.column_name for e in DICTIONARY)
 
 # Elements that hold others; never reported as custom.

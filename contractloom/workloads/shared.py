@@ -26,12 +26,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str, spread: str | None = None) -> DataFrame:
     """The rows of ``df``, written once to the shared folder and read from there.
 
-    With ``spread``, rows go by the hash of that unique column to one file per
-    core, so that costly steps on few rows have as many tasks.
+    With ``spread``, rows go by the hash of that unique column to files of even size, as
+    many as the shuffle makes of them.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     if spread:
-        df = df.repartition(spark.sparkContext.defaultParallelism, spread)
+        df = df.repartition(spread)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

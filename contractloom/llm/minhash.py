@@ -200,7 +200,7 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def bands(reps: DataFrame) -> DataFrame:
-    """``key, id`` for each band of each representative."""
+    """``key, id, component`` for each band of each representative (``id, regs, component``)."""
 
     def run(batches):
         for batch in batches:
@@ -208,10 +208,11 @@ def bands(reps: DataFrame) -> DataFrame:
                 regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, REGISTERS)
                 keys = band_keys(regs)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["key", "id"]
+                    [pa.array(keys.ravel()), *(pa.array(np.repeat(batch.column(i).to_numpy(), BANDS)) for i in (0, 2))],
+                    names=["key", "id", "component"],
                 )
 
-    return reps.select("id", "regs").mapInArrow(run, "key long, id long")
+    return reps.select("id", "regs", "component").mapInArrow(run, "key long, id long, component long")
 
 
 def screen(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -422,12 +423,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
     label = components(ties)
-    known = bands(reps).join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    left = _open(known)
+    left = _open(bands(reps.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))))
     if not left.isEmpty():
         plain = docs.select(column(docs, key).cast("long").alias("id"), column(docs, text).alias("text"))
         texts = plain.join(left.select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "text"])
         texts = written(texts, "minhash-texts")  # of all that share a bucket
+        reps = written(reps.join(left.select("id").distinct(), "id", "left_semi"), "minhash-near")
         label = _joined(label, middle_pairs(left), reps, texts)
         rest = _open(left.select("key", "id").join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")))
         if not rest.isEmpty():

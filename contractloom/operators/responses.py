@@ -114,9 +114,9 @@ def crossref_responses(responses: DataFrame, validation: DataFrame) -> DataFrame
     A blank policy has no partner: rows without one are not multiplied with each other.
     """
     left = responses.withColumn(
-        "_key", F.nullif(strip_leading_zeros(strip(F.col("Policy_Number"))), F.lit("")))
+        "_key", strip_leading_zeros(F.nullif(strip(F.col("Policy_Number")), F.lit(""))))
     right = validation.select(
-        F.nullif(strip_leading_zeros(strip(F.col("PolNumber"))), F.lit("")).alias("_key"),
+        strip_leading_zeros(F.nullif(strip(F.col("PolNumber")), F.lit(""))).alias("_key"),
         *(F.col(c).alias(f"{c}_val") if c in responses.columns else F.col(c)
           for c in validation.columns),
     )

@@ -65,8 +65,8 @@ PATTERNS = {
 
 
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())  # only the card pattern has groups
-# Cheap signs without which no pattern can match.
-SIGN = r"@|\d{2}|(?:" + _TITLE + r")\.? "
+# Cheap signs without which no pattern can match; an ip may be of single digits.
+SIGN = r"@|\d{2}|\d\.\d|(?:" + _TITLE + r")\.? "
 
 
 def digits(c: Column) -> Column:

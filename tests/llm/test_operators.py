@@ -460,6 +460,13 @@ def test_surrogates_stay_distinct(spark):
     assert not {(r.kind, r.surrogate) for r in drawn} & {(r.kind, r.canon) for r in drawn}
 
 
+def test_surrogates_of_an_address_of_single_digits(spark):
+    texts = ["dns 8.8.8.8 only", "1.1.1.1", "dns 8.8.8.8 and 77"]
+    got = [r.text for r in pii.pseudonymize(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert not any(a in t for a in ("8.8.8.8", "1.1.1.1") for t in got)
+    assert got[0].split()[1] == got[2].split()[1]
+
+
 def test_surrogates_over_the_table(spark, documents, texts, odd, empty):
     got = {r.doc_id: r.text for r in pii.pseudonymize(documents).collect()}
     any_ = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+|\b\d{1,3}(?:\.\d{1,3}){3}\b|\b\d{16}\b|\(\d{3}\) \d{3}-\d{4}")

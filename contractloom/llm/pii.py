@@ -8,7 +8,8 @@ script, and every surface keeps its format (separators, letter case, country cod
    two ways of writing one entity share one surrogate in the whole corpus (coreference).
 2. Each distinct entity draws a surrogate from a keyed hash. Where two entities drew the
    same one, or one drew what is itself an entity of the corpus, all but the first draw
-   again with the next count, until no collision is left (distinctness).
+   again with the next count, until no collision is left (distinctness). Names and mail
+   boxes grow with the count, so there is room for any number of them.
 3. Surrogates are joined to the distinct surfaces of each text, and the pieces between
    and in place of the matches are put together again.
 
@@ -146,7 +147,9 @@ def draw(current: DataFrame, key: str) -> DataFrame:
         .withColumn("mails", _nibbles(F.concat(F.lit(f"{key}|domain|"), "domain")))
         .withColumn("changed", _redraw(F.when(kind == "email", F.substring_index(canon, "@", 1)).otherwise(canon), stream))
     )
-    mail = F.concat(changed, F.lit("@"), _redraw(F.regexp_replace("domain", r"\.[^.]*$", ""), F.col("mails")), F.lit(".example"))
+    # A redrawn mail box grows by a letter a time, as short ones of a domain are few.
+    grown = F.substring(F.translate(stream, "0123456789", "ghijklmnop"), F.lit(1), F.col("attempt"))
+    mail = F.concat(changed, grown, F.lit("@"), _redraw(F.regexp_replace("domain", r"\.[^.]*$", ""), F.col("mails")), F.lit(".example"))
     rest = lambda n: F.concat(F.substring(canon, 1, n), F.substring(changed, F.lit(n + 1), F.length(canon)))
     body = F.concat(F.substring(canon, 1, 1), F.substring(changed, F.lit(2), F.length(canon) - 2))
     check = ((10 - _luhn_sum(body, True) % 10) % 10).cast("string")
@@ -160,13 +163,16 @@ def draw(current: DataFrame, key: str) -> DataFrame:
     surrogate = (
         F.when(kind == "email", mail).when(kind == "card", card).when(kind == "ip", ip)
         .when(kind == "phone", phone).when(kind == "iban", rest(2))
-        .when(kind == "person", _person(canon, stream)).otherwise(changed)
+        .when(kind == "person", _person(canon, stream, F.col("attempt"))).otherwise(changed)
     )
     return steps.select("kind", "canon", "attempt", surrogate.alias("surrogate"))
 
 
-def _person(canon: Column, stream: Column) -> Column:
-    """As many words as the name has, of its script and gender, in small letters after the gender."""
+def _person(canon: Column, stream: Column, attempt: Column) -> Column:
+    """As many words as the name has, of its script and gender, in small letters after the gender.
+
+    Family names have three syllables and one more for each further attempt.
+    """
     gender, name = F.substring(canon, 1, 1), F.substring(canon, F.lit(3), F.length(canon))
     script = F.when(name.rlike(r"\p{IsCyrillic}"), "cyrillic").when(name.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
@@ -175,7 +181,8 @@ def _person(canon: Column, stream: Column) -> Column:
         return F.element_at(words, (_value(stream, i) % F.size(words) + 1).cast("int"))
 
     def word(x, i):
-        family = F.concat(*[pick(SYLLABLES, script, i * 3 + n) for n in (1, 2, 3)])
+        places = F.sequence(F.lit(1), attempt + 3)
+        family = F.array_join(F.transform(places, lambda n: pick(SYLLABLES, script, i * (attempt + 3) + n)), "")
         ending = F.create_map(*[x for k, v in ENDINGS.items() for x in (F.lit(k), F.lit(v))])
         family = F.concat(family, F.coalesce(ending[script], ending[F.concat(script, F.lit("-"), gender)]))
         given = pick(GIVEN, F.concat(script, F.lit("-"), gender), i)

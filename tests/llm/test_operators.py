@@ -460,6 +460,16 @@ def test_surrogates_stay_distinct(spark):
     assert not {(r.kind, r.surrogate) for r in drawn} & {(r.kind, r.canon) for r in drawn}
 
 
+def test_surrogates_of_more_names_than_three_syllables_make(spark):
+    # 14 ** 3 = 2744 Greek family names of three syllables, and 26 mail boxes of one letter.
+    name = lambda i: "".join("αβγδεζηθικ"[int(c)] for c in f"{i:04d}")
+    rows = [(i, f"κύριος Ω{name(i)}, {chr(97 + i % 26)}@many.org") for i in range(3200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [r.text for r in pii.pseudonymize(table).collect()]
+    assert len({t.split(",")[0] for t in out}) == 3200
+    assert len({t.split(", ")[1] for t in out}) == 26 and not any("many.org" in t for t in out)
+
+
 def test_surrogates_of_an_address_of_single_digits(spark):
     texts = ["dns 8.8.8.8 only", "1.1.1.1", "dns 8.8.8.8 and 77"]
     got = [r.text for r in pii.pseudonymize(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]

@@ -13,6 +13,10 @@ script, and every surface keeps its format (separators, letter case, country cod
 3. Surrogates are joined to the distinct surfaces of each text, and the pieces between
    and in place of the matches are put together again.
 
+Persons draw by the word: a family name has one surrogate wherever it stands, so a lone
+surname meets its full name. A text that names a person behind a title loses the words of
+that name everywhere, with a title or without.
+
 Only texts that hold an entity are shuffled. Equal texts share their surfaces, so many
 copies cost one. The number of collisions is all the driver sees.
 
@@ -29,10 +33,11 @@ from .common import column, fresh_name, read, written
 
 KEY = "surrogate-key-1"
 
-# Titles announce a person; the name after them is replaced. By gender.
+# Titles announce a person; the name after them is replaced. By gender, "u" where they tell none.
 TITLES = {
     "m": ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Signor", "г-н", "Г-н", "господин", "Господин", "κύριος", "Κύριος"),
     "f": ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Señora", "Sra", "Signora", "г-жа", "Г-жа", "госпожа", "Госпожа", "κυρία", "Κυρία"),
+    "u": ("Dr", "Doctor", "Docteur", "Prof", "Professor", "Professeur", "Profesor", "Rev", "Reverend", "Judge", "Captain", "д-р", "Д-р", "доктор", "Доктор", "проф", "Проф", "профессор", "Профессор", "δρ", "Δρ", "καθηγητής", "Καθηγητής"),
 }
 # Parts of surrogate names by script; given names by gender.
 GIVEN = {
@@ -43,15 +48,22 @@ GIVEN = {
     "greek-m": "Αλέξης Ανδρέας Γιάννης Γιώργος Δημήτρης Ηλίας Κώστας Λεωνίδας Μάριος Νίκος Πέτρος Σπύρος Στέφανος",
     "greek-f": "Άννα Βασιλική Γεωργία Δήμητρα Ειρήνη Ελένη Ζωή Ιωάννα Κατερίνα Μαρία Νίκη Σοφία Χριστίνα",
 }
+GIVEN |= {f"{s}-u": GIVEN[f"{s}-m"] + " " + GIVEN[f"{s}-f"] for s in ("latin", "cyrillic", "greek")}
 SYLLABLES = {
     "latin": "bar ben dal der fen gar hol kem lan mar nor pel ras sel tor van wen zan",
     "cyrillic": "бар бел вол гор дан зор кор лен мал нор пет род сем тол хар чер",
     "greek": "βαρ γαλ δημ θεο καλ λαμ μαν νικ παπ ραλ σταθ τσα φωτ χατ",
 }
-ENDINGS = {"latin": "", "cyrillic-m": "ов", "cyrillic-f": "ова", "greek-m": "ης", "greek-f": "η"}
+ENDINGS = {"latin": "", "cyrillic-m": "ов", "cyrillic-f": "ова", "cyrillic-u": "енко", "greek-m": "ης", "greek-f": "η", "greek-u": "ίδη"}
+# Words of names that are no name by themselves.
+PARTICLES = "al bin da de del della den der des di do dos du el ibn la le los van von zu".split()
 
 _TITLE = "|".join(t for ts in TITLES.values() for t in ts)
-_NAME = r"\p{Lu}[\p{L}\x27’-]+(?: \p{Lu}[\p{L}\x27’-]+){0,2}"
+_START = "[" + "".join(sorted({t[0] for ts in TITLES.values() for t in ts})) + "]"
+# A title is no name, nor is the 's after one a part of it.
+_WORD = r"(?!(?:" + _TITLE + r")(?!\p{L}))\p{Lu}(?:(?![\x27’-](?:s(?!\p{L})|(?!\p{L})))[\p{L}\x27’-])+"
+_BETWEEN = r"(?:(?:de|de la|de los|del|della|di|da|dos|van|van de|van den|van der|von|von der|bin|ibn|al) )?"
+_NAME = rf"{_WORD}(?: {_BETWEEN}{_WORD}){{0,2}}"
 # Kinds in order of preference where two could begin at one place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
@@ -61,28 +73,33 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d)",
     "phone": r"(?<![A-Za-z0-9-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!-?[A-Za-z0-9])",
     "intl": r"(?<![A-Za-z0-9+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)",
-    "person": r"(?<=(?<!\p{L})(?:" + _TITLE + r")\.? )" + _NAME,
+    # Only at a capital letter are titles looked for.
+    "person": r"(?=\p{Lu})(?<=(?<!\p{L})(?:" + _TITLE + r")\.? )" + _NAME,
 }
 
 
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())  # only the card pattern has groups
 # Cheap signs without which no pattern can match; an ip may be of single digits.
-SIGN = r"@|\d{2}|\d\.\d|(?:" + _TITLE + r")\.? "
+SIGN = r"@|\d{2}|\d\.\d|(?=" + _START + r")(?:" + _TITLE + r")\.? "
 
 
 def digits(c: Column) -> Column:
     return F.regexp_replace(c, r"[^0-9]", "")
 
 
-def kind_of(surface: Column, title: Column) -> Column:
-    """The first kind whose pattern covers the whole surface; a title before it makes a person."""
-    out = F.when(F.length(title) > 0, F.lit("person"))
+def kind_of(surface: Column) -> Column:
+    """The first kind whose pattern covers the whole surface; what has none is a person."""
+    out = F
     for kind, pattern in PATTERNS.items():
         if kind != "person":
             out = out.when(surface.rlike(f"^(?:{pattern})$"), F.lit(kind))
     return out.otherwise(F.lit("person"))
 
 
+def gender_of(title: Column) -> Column:
+    return F.when(title.isin(*TITLES["f"]), "f").when(title.isin(*TITLES["u"]), "u").otherwise("m")
+
+
 def canonical(kind: Column, surface: Column, gender: Column) -> Column:
     """One form for all ways to write an entity."""
     number = digits(surface)
@@ -163,32 +180,50 @@ def draw(current: DataFrame, key: str) -> DataFrame:
     surrogate = (
         F.when(kind == "email", mail).when(kind == "card", card).when(kind == "ip", ip)
         .when(kind == "phone", phone).when(kind == "iban", rest(2))
-        .when(kind == "person", _person(canon, stream, F.col("attempt"))).otherwise(changed)
+        .when(kind == "word", _name_word(canon, stream, F.col("attempt"))).otherwise(changed)
     )
     return steps.select("kind", "canon", "attempt", surrogate.alias("surrogate"))
 
 
-def _person(canon: Column, stream: Column, attempt: Column) -> Column:
-    """As many words as the name has, of its script and gender, in small letters after the gender.
+def _name_word(canon: Column, stream: Column, attempt: Column) -> Column:
+    """A given or family name of the script and gender of a word, in small letters.
 
-    Family names have three syllables and one more for each further attempt.
+    Family names have three syllables; each further attempt puts one more before the name.
     """
-    gender, name = F.substring(canon, 1, 1), F.substring(canon, F.lit(3), F.length(canon))
+    parts = F.split(canon, ":")
+    role, gender, name = parts[0], parts[1], parts[2]
     script = F.when(name.rlike(r"\p{IsCyrillic}"), "cyrillic").when(name.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
     def pick(table: dict[str, str], name: Column, i: Column) -> Column:
         words = F.create_map(*[x for k, v in table.items() for x in (F.lit(k), F.split(F.lit(v), " "))])[name]
         return F.element_at(words, (_value(stream, i) % F.size(words) + 1).cast("int"))
 
+    def syllables(n: Column) -> Column:
+        return F.array_join(F.transform(F.array_repeat(F.lit(0), n), lambda _, i: pick(SYLLABLES, script, i + 1)), "")
+
+    ending = F.create_map(*[x for k, v in ENDINGS.items() for x in (F.lit(k), F.lit(v))])
+    family = F.concat(syllables(attempt + 3), F.coalesce(ending[script], ending[F.concat(script, F.lit("-"), gender)]))
+    given = F.concat(syllables(attempt), F.lower(pick(GIVEN, F.concat(script, F.lit("-"), gender), F.lit(0))))
+    return F.when(role == "g", given).otherwise(family)
+
+
+def _words(canon: Column) -> Column:
+    """The words of a person, each with its role (given or family) and gender; Latin family names have none."""
+    words = F.split(F.substring(canon, F.lit(3), F.length(canon)), " ")
+    gender = F.substring(canon, 1, 1)
+
     def word(x, i):
-        places = F.sequence(F.lit(1), attempt + 3)
-        family = F.array_join(F.transform(places, lambda n: pick(SYLLABLES, script, i * (attempt + 3) + n)), "")
-        ending = F.create_map(*[x for k, v in ENDINGS.items() for x in (F.lit(k), F.lit(v))])
-        family = F.concat(family, F.coalesce(ending[script], ending[F.concat(script, F.lit("-"), gender)]))
-        given = pick(GIVEN, F.concat(script, F.lit("-"), gender), i)
-        return F.when((i == 0) & (F.size(F.split(name, " ")) > 1), F.lower(given)).otherwise(family)
+        role = F.when((i == 0) & (F.size(words) > 1), "g").otherwise("f")
+        bare = (role == "f") & ~x.rlike(r"\p{IsCyrillic}|\p{IsGreek}")
+        return F.struct(role.alias("role"), F.when(bare, "").otherwise(gender).alias("gender"), x.alias("word"))
+
+    return F.transform(words, word)
 
-    return F.concat(gender, F.lit(":"), F.array_join(F.transform(F.split(name, " "), word), " "))
+
+def _written_as(surface: Column, name: Column) -> Column:
+    """A name in small letters, in the letter case of a surface."""
+    upper, lower = (surface == F.upper(surface)) & (surface != F.lower(surface)), surface == F.lower(surface)
+    return F.when(upper, F.upper(name)).when(lower, name).otherwise(F.initcap(name))
 
 
 def render(kind: Column, surface: Column, surrogate: Column) -> Column:
@@ -213,16 +248,16 @@ def render(kind: Column, surface: Column, surrogate: Column) -> Column:
         )
 
     iban = F.aggregate(places, F.struct(F.lit("").alias("text"), F.lit(0).alias("n")), letter)["text"]
-    upper, lower = (surface == F.upper(surface)) & (surface != F.lower(surface)), surface == F.lower(surface)
+    upper = (surface == F.upper(surface)) & (surface != F.lower(surface))
     mail = F.when(upper, F.upper(fill)).otherwise(fill)
-    name = F.substring(fill, F.lit(3), F.length(fill))
-    person = F.when(upper, F.upper(name)).when(lower, name).otherwise(F.initcap(name))
+    person = _written_as(surface, F.substring(fill, F.lit(3), F.length(fill)))
     return F.when(kind == "email", mail).when(kind == "iban", iban).when(kind == "ip", fill).when(kind == "person", person).otherwise(numbers)
 
 
-def _cut(t: Column) -> Column:
+def _cut(t: Column, pattern: Column | None = None) -> Column:
     """The text as pairs of a gap and the surface after it; the last surface is null."""
-    return F.arrays_zip(F.split(t, ANY), F.regexp_extract_all(t, F.lit(ANY), F.lit(0))).cast("array<struct<gap:string,surface:string>>")
+    pattern = F.lit(ANY) if pattern is None else pattern
+    return F.arrays_zip(F.split(t, pattern), F.regexp_extract_all(t, pattern, F.lit(0))).cast("array<struct<gap:string,surface:string>>")
 
 
 def entities(docs: DataFrame, text: str) -> DataFrame:
@@ -233,9 +268,8 @@ def entities(docs: DataFrame, text: str) -> DataFrame:
         F.md5("t").alias("id"),
         F.explode(_cut(F.col("t"))).alias("m"),
     ).select("id", "m.surface", F.regexp_extract("m.gap", rf"(?:^|[^\p{{L}}])({_TITLE})\.? $", 1).alias("title"))
-    female = F.col("title").isin(*TITLES["f"])
-    at = at.filter(F.col("surface").isNotNull()).select("id", "surface", "title", F.when(female, "f").otherwise("m").alias("gender"))
-    at = at.withColumn("kind", kind_of(F.col("surface"), F.col("title")))
+    at = at.filter(F.col("surface").isNotNull()).select("id", "surface", gender_of(F.col("title")).alias("gender"))
+    at = at.withColumn("kind", kind_of(F.col("surface")))
     at = at.withColumn("gender", F.when(F.col("kind") == "person", F.col("gender")).otherwise(""))
     return at.select("id", "surface", "kind", "gender", canonical(F.col("kind"), F.col("surface"), F.col("gender")).alias("canon")).distinct()
 
@@ -243,17 +277,44 @@ def entities(docs: DataFrame, text: str) -> DataFrame:
 def surrogates(found: DataFrame, key: str = KEY) -> DataFrame:
     """``kind, canon, surrogate``: one for each entity, all different, none of them an entity."""
     base = F.when(F.col("kind") == "intl", "phone").otherwise(F.col("kind"))
-    todo = written(found.select(base.alias("kind"), "canon").distinct(), "pii-entities")
-    every = todo.select("kind", F.col("canon").alias("surrogate")).withColumn("taken", F.lit(True))
+    whole = written(found.select(base.alias("kind"), "canon").distinct(), "pii-entities")
+    people = whole.filter("kind = 'person'").select("canon", F.posexplode(_words(F.col("canon"))).alias("at", "w")).select("canon", "at", "w.*")
+    # A name behind a title without gender is that of the man or woman of the corpus, where there is one.
+    told = F.max(F.when(F.col("gender") != "u", F.col("gender"))).over(Window.partitionBy("role", "word"))
+    sexed = F.when(F.col("gender") == "u", F.coalesce(told, "gender")).otherwise(F.col("gender"))
+    names = written(
+        people.select("role", "gender", "word").distinct().withColumn("unit", F.concat_ws(":", "role", sexed, "word")), "pii-names"
+    )
+    todo = whole.filter("kind <> 'person'").unionByName(names.select(F.lit("word").alias("kind"), F.col("unit").alias("canon")).distinct())
+    bare = F.when(F.col("kind") == "word", F.substring_index("canon", ":", -1)).otherwise(F.col("canon"))
+    every = todo.select("kind", bare.alias("surrogate")).distinct().withColumn("taken", F.lit(True))
     current = todo.withColumn("attempt", F.lit(0))
     while True:
         drawn = written(draw(current, key).join(every, ["kind", "surrogate"], "left"), "pii-drawn")
         place = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("attempt", "canon"))
         checked = drawn.withColumn("again", F.col("taken").isNotNull() | (place > 1))
         if checked.filter("again").isEmpty():
-            return drawn.select("kind", "canon", "surrogate")
+            break
         # Who drew first keeps it: an entity that draws again has a higher count than those it meets.
         current = checked.select("kind", "canon", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
+    units = drawn.filter("kind = 'word'").select(F.col("canon").alias("unit"), "surrogate")
+    new = people.join(names.join(units, "unit"), ["role", "gender", "word"])
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("at", "surrogate"))), lambda x: x["surrogate"])
+    persons = new.groupBy("canon").agg(F.array_join(parts, " ").alias("name")).select(
+        F.lit("person").alias("kind"), "canon", F.concat(F.substring("canon", 1, 2), "name").alias("surrogate")
+    )
+    return drawn.filter("kind <> 'word'").select("kind", "canon", "surrogate").unionByName(persons)
+
+
+def _repeats(surface: Column, surrogate: Column) -> Column:
+    """What stands for a name and its words where they have no title: as written, in capitals, with capital initials."""
+    name = F.substring(surrogate, F.lit(3), F.length(surrogate))
+    pairs = F.transform(F.split(surface, " "), lambda x, i: F.struct(x.alias("old"), F.get(F.split(name, " "), i).alias("new")))
+    pairs = F.filter(pairs, lambda p: ~F.lower(p["old"]).isin(*PARTICLES))
+    pairs = F.array_append(pairs, F.struct(surface.alias("old"), name.alias("new")))
+    forms = lambda x: F.array_distinct(F.array(x, F.upper(x), F.initcap(x)))
+    return F.flatten(F.transform(pairs, lambda p: F.transform(
+        forms(p["old"]), lambda o: F.struct(o.alias("k"), _written_as(o, p["new"]).alias("v")))))
 
 
 def pseudonymize(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
@@ -261,26 +322,36 @@ def pseudonymize(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFra
     found = written(entities(docs, text), "pii-surfaces")
     base = F.when(F.col("kind") == "intl", "phone").otherwise(F.col("kind"))
     drawn = surrogates(found, key).withColumnRenamed("kind", "base")
-    names = {n: fresh_name(docs, n) for n in ("_id", "_of", "_map")}
+    names = {n: fresh_name(docs, n) for n in ("_id", "_of", "_map", "_names")}
+    again = F.when(F.col("kind") == "person", _repeats(F.col("surface"), F.col("surrogate")))
+    # One surrogate where two names of a text share a word; long names before the words in them.
+    first = F.filter(F.col("r"), lambda x, i: F.coalesce(F.get(F.col("r"), i - 1)["k"] != x["k"], F.lit(True)))
+    long = F.array_sort(F.transform(first, lambda x: F.struct((-F.length(x["k"])).alias("n"), x["k"].alias("k"))))
+    repeats = F.transform(first, lambda x: F.struct(F.concat(F.lit("w|"), x["k"]).alias("k"), x["v"].alias("v")))
     swaps = (
         found.withColumn("base", base).join(drawn, ["base", "canon"])
-        .select("id", F.struct(F.concat("gender", F.lit("|"), "surface").alias("k"), render(F.col("kind"), F.col("surface"), F.col("surrogate")).alias("v")).alias("e"))
-        .groupBy("id").agg(F.map_from_entries(F.collect_list("e")).alias(names["_map"]))  # as many as one text holds
-        .withColumnRenamed("id", names["_of"])
+        .select("id", again.alias("r"), F.struct(F.concat("gender", F.lit("|"), "surface").alias("k"), render(F.col("kind"), F.col("surface"), F.col("surrogate")).alias("v")).alias("e"))
+        .groupBy("id").agg(F.collect_list("e").alias("e"), F.array_sort(F.flatten(F.collect_list("r"))).alias("r"))  # as many as one text holds
+        .select(
+            F.col("id").alias(names["_of"]), F.map_from_entries(F.concat("e", repeats)).alias(names["_map"]),
+            F.array_join(F.transform(long, lambda x: x["k"]), "|").alias(names["_names"]),
+        )
     )
     t = column(docs, text)
     holds = F.coalesce(t.rlike(SIGN) & t.rlike(ANY), F.lit(False))
     plain = docs.filter(~holds)
     joined = docs.filter(holds).withColumn(names["_id"], F.md5(t)).join(swaps, F.col(names["_id"]) == F.col(names["_of"]))
-    swap = F.col(names["_map"])
+    swap, known = F.col(names["_map"]), F.col(names["_names"])
+    repeat = F.concat(F.lit(ANY + r"|(?<![\p{L}\d])(?:"), known, F.lit(r")(?![\p{L}\d]|[A-Za-z0-9._%+-]*@)"))
+    pattern = F.when(known == "", ANY).otherwise(repeat)
 
     def piece(p):
         gap, surface = p["gap"], p["surface"]
         title = F.regexp_extract(gap, rf"(?:^|[^\p{{L}}])({_TITLE})\.? $", 1)
-        gender = F.when(title.isin(*TITLES["f"]), "f").otherwise("m")
-        return F.concat(gap, F.coalesce(swap[F.concat(F.lit("|"), surface)], swap[F.concat(gender, F.lit("|"), surface)], F.lit("")))
+        titled = F.when(title != "", swap[F.concat(gender_of(title), F.lit("|"), surface)])
+        return F.concat(gap, F.coalesce(swap[F.concat(F.lit("|"), surface)], titled, swap[F.concat(F.lit("w|"), surface)], F.lit("")))
 
-    pieces = F.transform(_cut(t), piece)
+    pieces = F.transform(_cut(t, pattern), piece)
     rewritten = joined.withColumn(text, F.array_join(pieces, ""))
     return plain.unionByName(rewritten.select(*[column(docs, c) for c in docs.columns]))
 

@@ -470,6 +470,23 @@ def test_surrogates_of_more_names_than_three_syllables_make(spark):
     assert len({t.split(", ")[1] for t in out}) == 26 and not any("many.org" in t for t in out)
 
 
+def test_surrogates_of_names_without_a_title(spark):
+    texts = [
+        "Mr John Smith met us. John Smith left; SMITH's car, and John too. Smithson stays. J. Smith, Smith@home.org",
+        "Dr Smith called. Smith paid Prof. Ana de la Cruz; de la Cruz and Cruz left", "Herr Dr. Smith, Mr Smith", "Smith is not named here",
+        "Mr O'Neil-Bell wrote. O'Neil-Bell's note by Dr John Smith",
+    ]
+    got = [r.text for r in pii.pseudonymize(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    m = re.fullmatch(r"Mr (\w+) (\w+) met us\. (\w+) (\w+) left; ([A-Z]+)'s car, and (\w+) too\. Smithson stays\. J\. (\w+), (\w+)@\w+\.example", got[0])
+    given, family = m.groups()[:2]
+    assert m.groups()[2:7] == (given, family, family.upper(), given, family) and "Smith" not in (given, family, m.group(8))
+    n = re.fullmatch(r"Dr (\w+) called\. (\w+) paid Prof\. (\w+) \w+ \w+ (\w+); de la (\w+) and (\w+) left", got[1])
+    assert n.group(1) == n.group(2) == family and n.group(3) != "Ana" and n.group(4) == n.group(5) == n.group(6) != "Cruz"
+    assert got[2] == f"Herr Dr. {family}, Mr {family}" and got[3] == texts[3]
+    o = re.fullmatch(r"Mr (\w+) wrote\. (\w+)'s note by Dr (\w+) (\w+)", got[4])
+    assert o.group(1) == o.group(2) and o.groups()[2:] == (given, family)
+
+
 def test_surrogates_of_an_address_of_single_digits(spark):
     texts = ["dns 8.8.8.8 only", "1.1.1.1", "dns 8.8.8.8 and 77"]
     got = [r.text for r in pii.pseudonymize(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]

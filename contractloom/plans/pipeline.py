@@ -21,6 +21,12 @@ class Positions:
     files: DataFrame
     limits: dict[str, int]
     wide: DataFrame
+    unplaced: DataFrame
+
+    def write(self, folder: str) -> tuple[str, str]:
+        """The wide rows and the records that they have no columns for, as CSV in two folders."""
+        return (tables.write_csv(flatten.csv_rows(self.wide), f"{folder}/wide"),
+                tables.write_csv(self.unplaced, f"{folder}/unplaced"))
 
     def mismatches(self, wide: DataFrame | None = None) -> DataFrame:
         return reconcile.mismatches(self.records, self.wide if wide is None else wide, self.limits)
@@ -47,6 +53,7 @@ def flatten_positions(spark: SparkSession, paths: str | list[str],
         files=fixed_width.file_metadata(lines),
         limits=limits,
         wide=flatten.flatten(parsed, limits, counted=counted),
+        unplaced=flatten.unplaced(parsed, limits),
     )
 
 

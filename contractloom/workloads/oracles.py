@@ -318,6 +318,23 @@ funds AS (
     max(CASE WHEN occ = 3 THEN l_extendedprice::DECIMAL(18,2)::VARCHAR END) AS v3
   FROM numbered GROUP BY contract
 )"""
+oracle("flatten_long", LINES, """
+    SELECT file, t AS record_type, occ, count(*) AS n FROM (
+      SELECT file, t, row_number() OVER (PARTITION BY file, contract, t) AS occ FROM typed) GROUP BY ALL""")
+# A third of the value lines without a contract, and the most that a contract still has.
+STRAYS = f"""{CONTRACTS}, {ITEMS},
+widest AS (
+  SELECT coalesce(max(n), 1) AS most FROM (
+    SELECT count(*) AS n FROM items WHERE line_no % 3 <> 0 GROUP BY file, contract)
+),
+strays AS (SELECT file, count(*) AS n FROM items WHERE line_no % 3 = 0 GROUP BY file)"""
+oracle("unplaced", STRAYS, """
+    SELECT file, '__NO_CONTRACT__' AS contract, '1303' AS record_type, n - most AS n,
+      most + 1 AS first_occ, n AS last_occ
+    FROM strays, widest WHERE n > most""")
+oracle("reconcile_stray_report", STRAYS, """
+    SELECT true AS valid, 0 AS mismatch_count, sum(greatest(n - most, 0))::BIGINT AS unplaced_records
+    FROM strays, widest""")
 oracle("flatten_contracts", NUMBERED, """
     SELECT file, place + 1 AS first_line, contract AS "Contract_Number",
       cusip AS "c1301_CUSIP_Number", account AS "c1301_Distributors_Account_ID",

@@ -190,6 +190,27 @@ def flatten_contracts(spark, sf):
                        *(F.col(c).alias("c" + c) for c in WIDE_SHOWN))
 
 
+def _strays(spark: SparkSession, sf: str) -> DataFrame:
+    lost = (F.col("record_type") == "1303") & (F.col("line_no") % 3 == 0)
+    return _records(spark, sf).filter("record_type = '1303'").withColumn(
+        "contract", F.when(lost, records.NO_CONTRACT).otherwise(F.col("contract")))
+
+
+@query
+def flatten_long(spark, sf):
+    """Every detail record by file, type and number in its contract."""
+    return flatten.flatten_long(_records(spark, sf)).groupBy("file", "record_type", "occ").agg(F.count("*").alias("n"))
+
+
+@query
+def unplaced(spark, sf):
+    """Records that the wide table has no columns for, where a third of the value lines have lost their contract."""
+    strays = _strays(spark, sf)
+    left_out = flatten.unplaced(strays, records.occurrence_limits(strays))
+    return left_out.groupBy("file", "contract", "record_type").agg(
+        F.count("*").alias("n"), F.min("occ").alias("first_occ"), F.max("occ").alias("last_occ"))
+
+
 @query
 def flatten_all_columns(spark, sf):
     """Every cell of the wide table: columns, cells with a value, and their characters."""
@@ -238,7 +259,16 @@ def reconcile_mismatches(spark, sf):
 def reconcile_report(spark, sf):
     return reconcile.report(
         _records(spark, sf), _wide_table(spark, sf), dict(_limits(spark, sf))
-    ).withColumn("errors", F.array_join("errors", "; "))
+    ).withColumn("errors", F.array_join("errors", "; ")).drop("unplaced_records")
+
+
+@query
+def reconcile_stray_report(spark, sf):
+    """The report where a third of the value lines have lost their contract."""
+    strays = _strays(spark, sf)
+    limits = records.occurrence_limits(strays)
+    wide = written(flatten.flatten(strays, limits, counted=True), "stray-wide", "Contract_Number")
+    return reconcile.report(strays, wide, limits).select("valid", "mismatch_count", "unplaced_records")
 
 
 @query

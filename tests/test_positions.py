@@ -141,6 +141,16 @@ def test_flatten_with_many_lines_of_no_contract(spark):
     assert report["valid"] and report["total_fields_checked"] == 6 * 14
 
 
+def test_records_without_a_column_are_written_and_counted(spark, tmp_path):
+    lines = [line("1303", "", Fund_Value=f"{i}.00") for i in range(20)] + [line("1303", "C", Fund_Value="1.00")] * 3
+    (tmp_path / "F.03212026.txt").write_text("\n".join(lines) + "\n")
+    pos = pipeline.flatten_positions(spark, str(tmp_path / "F.03212026.txt"))
+    assert pos.report().first()["unplaced_records"] == 17 and pos.unplaced.count() == 17
+    wide, left_out = pos.write(str(tmp_path / "out"))
+    assert spark.read.option("header", True).csv(wide).count() == 2
+    assert sorted(int(r["occ"]) for r in spark.read.option("header", True).csv(left_out).collect()) == list(range(4, 21))
+
+
 def test_format_and_kind_beyond_the_first_lines(spark):
     lines = ["odd"] * 300 + [line("1301", "C").ljust(300) + " " * 36] + ["y"] * 100
     lines = [v if len(v) < 300 else (v + " " * 336)[:336] for v in lines]

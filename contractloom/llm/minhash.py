@@ -33,7 +33,6 @@ component and is kept. Other columns play no part.
 
 from __future__ import annotations
 
-import functools
 import math
 
 import numpy as np
@@ -66,10 +65,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Sorted distinct 64-bit shingle hashes of texts."""
+    """Sorted distinct 64-bit hashes of the shingles of texts."""
 
-    def __init__(self):
+    def __init__(self, size: int = WORDS):
         self.known: dict[bytes, int] = {}
+        self.size = size
 
     def sets(self, texts: list[str | None]) -> list[np.ndarray]:
         import xxhash
@@ -82,16 +82,17 @@ class Shingler:
             known[w] = xxhash.xxh3_64_intdigest(w)
         lengths = [len(ws) for ws in words]
         h = np.fromiter((known[w] for ws in words for w in ws), np.uint64, sum(lengths))
-        if len(h) >= WORDS:
-            n = len(h) - WORDS + 1
+        size = self.size
+        if len(h) >= size:
+            n = len(h) - size + 1
             windows = h[:n].copy()
-            for k in range(1, WORDS):
+            for k in range(1, size):
                 windows = windows * _P + h[k : k + n]
             windows = mix64(windows)
         out, at = [], 0
         for length in lengths:
-            if length >= WORDS:
-                s = np.sort(windows[at : at + length - WORDS + 1])
+            if length >= size:
+                s = np.sort(windows[at : at + length - size + 1])
                 out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
             elif length:
                 whole = np.uint64(length)
@@ -105,7 +106,6 @@ class Shingler:
         return out
 
 
-@functools.cache
 def _priorities() -> np.ndarray:
     return np.random.default_rng(20).permuted(np.tile(np.arange(REGISTERS, dtype=np.uint16), (REGISTERS, 1)), axis=1)
 
@@ -175,6 +175,12 @@ def slices(batch: pa.RecordBatch, at: int):
         yield batch.slice(begin)
 
 
+def _digest(s: np.ndarray) -> int:
+    import hashlib
+
+    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``id, n, d1, d2, regs``: size, 128-bit digest and registers of each document's set."""
 
@@ -242,8 +248,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 1):
                 sets = shingler.sets(part.column(1).to_pylist())
-                h = [int(s.sum()) - (1 << 63) for s in sets]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(h, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "h", "s"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([_digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "h", "s"])
 
     sets = texts.join(needed, "id", "left_semi").mapInArrow(to_sets, "id long, h long, s binary")
     sets = written(sets.repartition("id").dropDuplicates(["id", "h"]).select("id", "s"), "minhash-sets")  # repeated rows once
@@ -306,8 +311,10 @@ def _matched(left: DataFrame, reps: DataFrame) -> DataFrame:
     """``id, component`` of the members of buckets that meet another component of a size they could link with."""
     size = reps.select("id", "n").distinct()
     rows = left.select("key", "id", "component").join(size, "id").withColumn("own", _class("n"))
-    near = rows.select("key", "component", F.explode(F.sequence(F.col("own") - SPREAD, F.col("own") + SPREAD)).alias("own"))
-    near = near.groupBy("key", "own").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    # One row for each bucket and class of sizes, however many members it has.
+    held = rows.groupBy("key", "own").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    near = held.select("key", "lo", "hi", F.explode(F.sequence(F.col("own") - SPREAD, F.col("own") + SPREAD)).alias("own"))
+    near = near.groupBy("key", "own").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     return rows.join(near, ["key", "own"]).filter("lo <> component OR hi <> component").select("id", "component").distinct()
 
 
@@ -349,14 +356,17 @@ def rare_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
                 sets = shingler.sets(part.column(1).to_pylist())
                 n = np.array([len(s) for s in sets], np.int64)
                 shingle = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+                which = np.array([_digest(s) for s in sets], np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(part.column(0).to_numpy(), n)), pa.array(np.repeat(n, n)), pa.array(shingle)], names=["id", "n", "s"]
+                    [pa.array(np.repeat(part.column(0).to_numpy(), n)), pa.array(np.repeat(n, n)), pa.array(np.repeat(which, n)), pa.array(shingle)],
+                    names=["id", "n", "d", "s"],
                 )
 
-    rows = texts.join(members.select("id"), "id", "left_semi").mapInArrow(run, "id long, n long, s long")
+    # An id may come with several sets, even of one size: each is ranked by itself.
+    rows = texts.join(members.select("id"), "id", "left_semi").mapInArrow(run, "id long, n long, d long, s long")
     rows = written(rows, "minhash-shingles")
     rarity = rows.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
-    place = F.row_number().over(Window.partitionBy("id", "n").orderBy("df", "s"))  # a set's own shingles
+    place = F.row_number().over(Window.partitionBy("id", "n", "d").orderBy("df", "s"))  # a set's own shingles
     # No prefix is longer than for a partner of the smallest size; a shingle of one set alone is never shared.
     ranked = rows.join(rarity, "s").withColumn("place", place).filter(f"df > 1 AND place <= ceil(n * {100 - PERCENT} / 100D) + 4")
     other = ranked.withColumn("own", _class("n")).withColumn("other", F.explode(F.sequence(F.col("own") - SPREAD, F.col("own") + SPREAD)))
@@ -366,7 +376,7 @@ def rare_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
     length = F.col("n") - share + 1
     prefixes = (
         other.withColumn("length", length).filter("place <= length")
-        .groupBy("id", "n", "own", "other", "length").agg(F.collect_list("s").alias("p"))  # as long as the prefix
+        .groupBy("id", "n", "d", "own", "other", "length").agg(F.collect_list("s").alias("p"))  # as long as the prefix
     )
     prefixes = written(prefixes.join(members, "id"), "minhash-rare")
     one, two = (
@@ -446,10 +456,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: the smallest id of each component."""
-    gone = fresh_name(docs, "_gone")
-    drop = near_duplicates(docs, key, text).filter(~F.col("kept")).select(F.col("id").alias(gone)).distinct()
-    return docs.join(drop, column(docs, key) == F.col(gone), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: the smallest id of each component.
+
+    Of several rows of one such id the one with the least digest of its text stays; rows without an id all stay.
+    """
+    gone, kept = fresh_name(docs, "_gone"), fresh_name(docs, "_kept")
+    found = near_duplicates(docs, key, text).filter(F.col("id").isNotNull())
+    drop = found.filter(~F.col("kept")).select(F.col("id").alias(gone)).distinct()
+    many = written(found.filter("kept").groupBy("id").count().filter("count > 1").select(F.col("id").alias(kept)), "minhash-repeats")
+    left = docs.join(drop, column(docs, key) == F.col(gone), "left_anti")
+    if many.isEmpty():
+        return left
+    single = left.join(many, column(docs, key) == F.col(kept), "left_anti")
+    place = fresh_name(docs, "_place")
+    first = Window.partitionBy(column(docs, key)).orderBy(F.sha2(F.coalesce(column(docs, text), F.lit("")), 256))
+    repeats = left.join(many, column(docs, key) == F.col(kept), "left_semi").withColumn(place, F.row_number().over(first))
+    return single.unionByName(repeats.filter(column(repeats, place) == 1).drop(place))
 
 
 def op5_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,6 +80,44 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM co
 """
 
 
+PHRASES = r"""
+WITH cut AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d,
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents
+), piece AS (
+  SELECT lang, d, unnest(range(1, len(pieces) + 1)) AS i, unnest(pieces) AS piece FROM cut
+), listed AS (
+  SELECT lang, d, i, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM piece
+), word AS (
+  SELECT lang, d, i, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS a FROM listed
+), chain AS (
+  SELECT lang, a, lead(a, 1) OVER w AS b, lead(a, 2) OVER w AS c FROM word WINDOW w AS (PARTITION BY d, i ORDER BY pos)
+), f1 AS (SELECT lang, a, count(*) AS f FROM chain GROUP BY ALL),
+f2 AS (SELECT lang, a, b, count(*) AS f FROM chain WHERE b IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, a, b, c, count(*) AS f FROM chain WHERE c IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+cuts AS (
+  SELECT t.lang, t.a || ' ' || t.b AS phrase, 1 AS k, t.f AS a, x.f AS l, y.f AS r
+  FROM f2 t JOIN f1 x ON x.lang = t.lang AND x.a = t.a JOIN f1 y ON y.lang = t.lang AND y.a = t.b
+  WHERE NOT EXISTS (
+    FROM f3 z WHERE z.lang = t.lang AND 100 * z.f >= 50 * t.f AND ((z.a = t.a AND z.b = t.b) OR (z.b = t.a AND z.c = t.b)))
+  UNION ALL
+  SELECT t.lang, t.a || ' ' || t.b || ' ' || t.c, 1, t.f, x.f, y.f
+  FROM f3 t JOIN f1 x ON x.lang = t.lang AND x.a = t.a JOIN f2 y ON y.lang = t.lang AND y.a = t.b AND y.b = t.c
+  UNION ALL
+  SELECT t.lang, t.a || ' ' || t.b || ' ' || t.c, 2, t.f, x.f, y.f
+  FROM f3 t JOIN f2 x ON x.lang = t.lang AND x.a = t.a AND x.b = t.b JOIN f1 y ON y.lang = t.lang AND y.a = t.c
+), scored AS (
+  SELECT *, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def _spans(kind: str, rank: int, regex: str, group: int, least: int) -> str:
     regex = regex.replace("'", "''")
     return f"""
@@ -121,4 +159,5 @@ ORACLES: dict[str, str] = {
     "op2_extendible_shards": SHARDS,
     "op7_systematic_mix": MIX,
     "op10_trigram_secrets": secrets_sql(),
+    "op13_setm_phrases": PHRASES,
 }

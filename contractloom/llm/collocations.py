@@ -20,8 +20,8 @@ Everything is per language, which is part of a word's number. Numbers are 64-bit
 language and word; were two words to share one, all are numbered anew with another
 seed, so counts are exact. Scores are made of decimals, whole and exact.
 
-The semi-join is by broadcast only where the frequent groups are few (``SMALL`` rows, of 24
-bytes each); else Spark shuffles both sides.
+The semi-join is by broadcast only where the frequent groups are few (``SMALL`` rows of
+24 bytes); else Spark shuffles both sides.
 
 Defined results: a null text is empty, a null language is ``und`` (and shares it with such
 rows). Repeated rows count each. A language without candidates gives no row, nor does an
@@ -30,8 +30,6 @@ empty table. Other columns play no part.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,17 +41,19 @@ from .minhash import slices
 LEAST = 10  # occurrences of a candidate
 TOP = 2000
 COVERED = 50  # percent of a phrase's occurrences that lie in a longer candidate
-SMALL = 2_000_000
+SMALL = 1_000_000
 STEP = 1 << 20  # words that a task merges at a time, a text at least
-_CUT = re.compile(rb"[.,;:!?\n-\r]")
+HELD = 150_000  # words whose numbers or counts a task holds
+END = b"\n"  # ends a piece; no word holds it
+# A-Z to a-z, a tab to a blank, all that ends a piece to one sign.
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz " + END * 10)
 
 
 def _words(text: str | None) -> list[bytes]:
-    """The words in order, with an empty one for each end of a piece. ``bytes.lower`` lowers A-Z only."""
-    out: list[bytes] = []
-    for piece in _CUT.split((text or "").encode("utf-8", "surrogatepass").lower()):
-        out += [w for w in piece.replace(b"\t", b" ").split(b" ") if w]
-        out.append(b"")
+    """The words in order, with ``END`` behind each piece."""
+    plain = (text or "").encode("utf-8", "surrogatepass").translate(_PLAIN)
+    out = [w for w in plain.replace(END, b" " + END + b" ").split(b" ") if w]
+    out.append(END)
     return out
 
 
@@ -66,24 +66,30 @@ def _number(lang: bytes, word: bytes, seed: int) -> int:
 def vocabulary(docs: DataFrame, seed: int) -> DataFrame:
     """``w, lang, word, f`` of every word; words are counted by batch before the shuffle."""
 
+    def rows(count):
+        numbers = np.array([_number(lang, word, seed) for lang, word in count], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(numbers), pa.array([lang.decode("utf-8", "replace") for lang, _ in count], pa.string()),
+                pa.array([word.decode("utf-8", "replace") for _, word in count], pa.string()), pa.array(list(count.values()), pa.int64()),
+            ],
+            names=["w", "lang", "word", "n"],
+        )
+
     def run(batches):
         from collections import Counter
 
-        for batch in batches:
-            count: Counter = Counter()
+        count: Counter = Counter()
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 key = lang.encode("utf-8", "surrogatepass")
                 for word, n in Counter(_words(text)).items():
-                    if word:
+                    if word != END:
                         count[key, word] += n
-            numbers = np.array([_number(lang, word, seed) for lang, word in count], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(numbers), pa.array([lang.decode("utf-8", "replace") for lang, _ in count], pa.string()),
-                    pa.array([word.decode("utf-8", "replace") for _, word in count], pa.string()), pa.array(list(count.values()), pa.int64()),
-                ],
-                names=["w", "lang", "word", "n"],
-            )
+            if len(count) > HELD:
+                yield rows(count)
+                count = Counter()
+        yield rows(count)
 
     return docs.mapInArrow(run, "w long, lang string, word string, n long").groupBy("w", "lang", "word").agg(F.sum("n").alias("f"))
 
@@ -94,17 +100,19 @@ def words_in_order(docs: DataFrame, seed: int) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
-        at, known = TaskContext.get().partitionId() << 40, {}
+        at, known = TaskContext.get().partitionId() << 40, {}  # by language: word to number
         for batch in (part for whole in batches for part in slices(whole, 1)):
             ats, ends, numbers = [], [0], []
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if len(known) > 1_000_000:
-                    known = {}
-                key, words = lang.encode("utf-8", "surrogatepass"), _words(text)
-                for word in words:
-                    if (n := known.get((key, word))) is None:
-                        n = known[key, word] = _number(key, word, seed) if word else 0
-                    numbers.append(n)
+                words = _words(text)
+                of = known.setdefault(lang, {END: 0})
+                if new := set(words).difference(of):
+                    if sum(map(len, known.values())) > HELD:
+                        known = {lang: (of := {END: 0})}
+                        new = set(words) - {END}
+                    key = lang.encode("utf-8", "surrogatepass")
+                    of.update((word, _number(key, word, seed)) for word in new)
+                numbers += map(of.__getitem__, words)
                 ats.append(at)
                 at += len(words)
                 ends.append(len(numbers))

@@ -345,8 +345,8 @@ def rare_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
     Sets of sizes m and n are linked if they share t = 3/7 (m + n) shingles or more. Then,
     in any common order, the first m - t + 1 of the one and n - t + 1 of the other share
     one. The order is by rarity among ``members``; t is taken for the smallest size of
-    the partner's class, so each row's count serves all partners of the class. The number
-    that the two beginnings share bounds how much the sets can.
+    the partner's class, so each row's count serves all partners of the class. How far along
+    both orders a shared shingle stands bounds how much the sets can share.
     """
 
     def run(batches):
@@ -374,22 +374,16 @@ def rare_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
     least = F.greatest(F.floor(F.pow(F.lit(CLASS), F.col("other"))) - 1, F.ceil(F.col("n") * PERCENT / 100) - 1, F.lit(1))
     share = F.ceil((F.col("n") + least) * PERCENT / (100 + PERCENT) - 1e-9)
     length = F.col("n") - share + 1
-    prefixes = (
-        other.withColumn("length", length).filter("place <= length")
-        .groupBy("id", "n", "d", "own", "other", "length").agg(F.collect_list("s").alias("p"))  # as long as the prefix
+    # Slim rows: a shingle of a beginning and its place. What a pair shares is at most this one and what is behind it
+    # in the shorter rest; a linked pair passes at the first shingle that both beginnings have.
+    starts = written(
+        other.withColumn("length", length).filter("place <= length").select("id", "n", "own", "other", "place", "s").join(members, "id"), "minhash-rare"
     )
-    prefixes = written(prefixes.join(members, "id"), "minhash-rare")
-    one, two = (
-        prefixes.select(F.explode("p").alias(f"s{k}"), *[F.col(c).alias(f"{c}{k}") for c in ("id", "n", "component", "own", "other", "length", "p")])
-        for k in "ab"
-    )
-    # What both have up to the nearer end of the prefixes is in both; behind it there is only so much left. A pair
-    # meets at the smallest shingle of both prefixes alone.
+    one, two = (starts.select(*[F.col(c).alias(f"{c}{k}") for c in ("s", "id", "component", "n", "own", "other", "place")]) for k in "ab")
     near = (F.col("sa") == F.col("sb")) & F.expr(
         "owna = otherb AND othera = ownb AND ida < idb AND componenta <> componentb"
         f" AND 100 * na >= {PERCENT} * nb AND 100 * nb >= {PERCENT} * na"
-        f" AND {100 + PERCENT} * (size(array_intersect(pa, pb)) + greatest(na - lengtha, nb - lengthb)) >= {PERCENT} * (na + nb)"
-        " AND array_min(array_intersect(pa, pb)) = sa"
+        f" AND {100 + PERCENT} * (1 + least(na - placea, nb - placeb)) >= {PERCENT} * (na + nb)"
     )
     return one.join(two, near).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
 

@@ -1,8 +1,8 @@
 """DuckDB SQL for the queries that SQL can express.
 
 Not expressible: compressed sizes (op3), trained models (op8), tokenizer ids (op6), the
-forest (op4), keyed draws with collision rounds (op9). op5 is a transitive closure over
-all pairs, too slow as SQL on whole tables. These are tested against brute force.
+forest (op4), keyed draws with collision rounds (op9), a CRC of a key (op11). These are
+tested against brute force.
 """
 
 CHAT = r"""
@@ -118,6 +118,35 @@ FROM lowest JOIN n USING (lang) QUALIFY rank <= 2000
 """
 
 
+# Pairs by an inverted list of the shingles, then the ids that a walk over the links reaches.
+SIMILAR = r"""
+WITH RECURSIVE cut AS (
+  SELECT row_number() OVER () AS d, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT d, s FROM (
+    SELECT d, unnest(CASE WHEN len(w) >= {size} THEN list_transform(range(1, len(w) - {size} + 2), lambda i: array_to_string(w[i:i + {size} - 1], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM cut)
+), sized AS (
+  SELECT d, doc_id, coalesce(n, 0) AS n FROM cut LEFT JOIN (SELECT d, count(*) AS n FROM shingle GROUP BY d) USING (d)
+), common AS (
+  SELECT x.d AS a, y.d AS b, count(*) AS c FROM shingle x JOIN shingle y ON x.s = y.s AND x.d < y.d GROUP BY ALL
+), linked AS (
+  SELECT u.doc_id AS a, v.doc_id AS b FROM common JOIN sized u ON u.d = a JOIN sized v ON v.d = b
+  WHERE 100 * c >= {percent} * (u.n + v.n - c)
+), either AS (
+  SELECT a, b FROM linked UNION SELECT b, a FROM linked
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM sized WHERE doc_id IS NOT NULL
+  UNION SELECT r.a, e.b FROM reach r JOIN either e ON e.a = r.b
+), component AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT s.doc_id, s.n AS n_shingles, component_id{kept} FROM sized s LEFT JOIN component USING (doc_id)
+"""
+
+
 def _spans(kind: str, rank: int, regex: str, group: int, least: int) -> str:
     regex = regex.replace("'", "''")
     return f"""
@@ -158,6 +187,8 @@ ORACLES: dict[str, str] = {
     "op1_chat_masks": CHAT,
     "op2_extendible_shards": SHARDS,
     "op7_systematic_mix": MIX,
+    "op5_hyperminhash": SIMILAR.format(size=5, percent=75, kept=", coalesce(s.doc_id = component_id, true) AS kept"),
     "op10_trigram_secrets": secrets_sql(),
+    "op12_token_group_join": SIMILAR.format(size=4, percent=85, kept=""),
     "op13_setm_phrases": PHRASES,
 }

@@ -5,6 +5,7 @@ from .collocations import op13_setm_phrases
 from .forest import op4_prefix_forest
 from .minhash import op5_hyperminhash
 from .mixing import op7_systematic_mix
+from .ngram_join import op12_token_group_join
 from .oracles import ORACLES
 from .packing import op6_vector_packing
 from .pii import op9_surrogates
@@ -20,7 +21,7 @@ QUERIES = {
         op1_chat_masks, op2_extendible_shards, op3_quality_bands, op4_prefix_forest, op5_hyperminhash,
         op6_vector_packing,
         op7_systematic_mix, op8_toxicity_crf, op9_surrogates, op10_trigram_secrets,
-        op11_hirschberg_repair, op13_setm_phrases,
+        op11_hirschberg_repair, op12_token_group_join, op13_setm_phrases,
     )
 }
 

@@ -244,11 +244,40 @@ def test_near_duplicates_odd(spark, odd, empty):
     assert sorted(got, key=str) == sorted([(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (None, 7, None, True), (4, 59_996, 4, True), (5, 2, 5, True), (5, 2, 5, True), (6, 13, 6, True)], key=str)
     assert minhash.near_duplicates(empty).count() == 0 and minhash.deduplicate(empty).columns == empty.columns
     clash = odd.withColumn("_gone", F.lit(1)).withColumn("id", F.lit(1))
-    assert minhash.deduplicate(clash).count() == len(ODD)
+    assert minhash.deduplicate(clash).count() == len(ODD) - 1  # a repeated row stays once
     tied = spark.createDataFrame([(5, "a b c d e f"), (5, "g h i j k l"), (3, "g h i j k l"), (9, "a b c d e f")], "doc_id long, text string")
     assert {r.component_id for r in minhash.near_duplicates(tied).collect()} == {3}
 
 
+def test_near_duplicates_of_one_id_with_two_sets_of_a_size(spark):
+    """Each of the sets finds its own copies, though both have the id and the size in common."""
+    rng = np.random.default_rng(9)
+    one, two = ([f"{k}{n}" for n in rng.integers(0, 9000, 80)] for k in "ab")
+    rows = [(7, " ".join(one)), (7, " ".join(two))]
+    for i in range(30):  # a large bucket, whose rest goes to the exact join
+        for j, base in ((100, one), (200, two)):
+            words = list(base)
+            words[rng.integers(0, 80)] = f"new{i}{j}"
+            rows.append((j + i, " ".join(words)))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.component_id for r in minhash.near_duplicates(table).collect()} == {7}
+    kept = minhash.deduplicate(table.unionByName(table)).collect()
+    assert [r.doc_id for r in kept] == [7]
+
+
+def test_exact_join_makes_few_rows_of_texts_that_share_passages(spark):
+    """14 of 20 passages each: no links, and no more pairs than the rows could make once."""
+    passages = [" ".join(f"p{k}w{i}" for i in range(30)) for k in range(20)]
+    for n in (60, 120):
+        rng = np.random.default_rng(n)
+        rows = [(i, " ".join(passages[k] for k in rng.permutation(20)[:14])) for i in range(n)]
+        table = spark.createDataFrame(rows, "doc_id long, text string")
+        members = table.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("component"))
+        pairs = minhash.rare_pairs(table.select(F.col("doc_id").alias("id"), "text"), members)
+        assert pairs.count() <= n * (n - 1) // 2
+    assert {r.id: r.component_id for r in minhash.near_duplicates(table).collect()} == components_of(rows)
+
+
 def test_estimate_is_close(spark):
     p, rng = minhash._priorities(), np.random.default_rng(3)
     for n in (40, 400, 4000):

@@ -19,7 +19,9 @@ How it stays small, and exact:
   others: a group of near copies meets there and is one component. Then only queries of
   one component against groups of another go on, one way round.
 * A group is the members with one middle, split by hash into groups of some ``GROUP`` members and
-  ``UNION`` shingles, so a union is bounded by a longest document.
+  ``UNION`` shingles, so a union is bounded by a longest document. Queries stream past their
+  group in tasks of some ``QUERIES``, in each of which the group stands first; texts travel,
+  which compress, and are made sets again where they meet.
 
 There is no chance in this: the result is that of comparing all pairs.
 
@@ -44,6 +46,7 @@ PERCENT = 85
 MANY = 64  # sets that share a part before it counts as common
 GROUP = 32
 UNION = 1 << 17
+QUERIES = 2000  # queries of one group that a task sees
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -80,8 +83,14 @@ def families(n: int, edges: np.ndarray) -> list[int]:
     return [f for f in (own, own - 1) if f >= 0 and differing(int(edges[f])) > 0]
 
 
+def plain(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``id, text, h``: with a hash that tells the texts of one id apart."""
+    text = column(docs, text)
+    return docs.select(column(docs, key).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
+
+
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``row, id, n, d1, d2, parts``: size and digest of each set, and ``(slack, hashes)`` for each family.
+    """``row, id, h, n, d1, d2, parts``: size and digest of each set, and ``(slack, hashes)`` for each family.
 
     ``row`` numbers the rows; it holds once they are written.
     """
@@ -111,28 +120,28 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
                 both = pa.StructArray.from_arrays([pa.array(slacks, pa.int32()), lists], names=["slack", "hashes"])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(range(row, row + len(sets)), pa.int64()), part.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array(range(row, row + len(sets)), pa.int64()), part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(d[:, 0]), pa.array(d[:, 1]), pa.ListArray.from_arrays(pa.array(outer, pa.int32()), both),
                     ],
-                    names=["row", "id", "n", "d1", "d2", "parts"],
+                    names=["row", "id", "h", "n", "d1", "d2", "parts"],
                 )
                 row += len(sets)
 
-    plain = docs.select(column(docs, key).cast("long").alias("id"), column(docs, text).alias("text"))
-    return plain.mapInArrow(run, "row long, id long, n long, d1 long, d2 long, parts array<struct<slack:int,hashes:array<bigint>>>")
+    return plain(docs, key, text).mapInArrow(run, "row long, id long, h long, n long, d1 long, d2 long, parts array<struct<slack:int,hashes:array<bigint>>>")
 
 
 def buckets(classes: DataFrame) -> DataFrame:
     """``key, c, members`` of the parts that several classes (``c, parts``) share, without the common ones that are not needed."""
-    family = classes.select("c", F.posexplode("parts").alias("family", "p"))
-    rows = family.select("c", "family", "p.slack", F.explode("p.hashes").alias("key")).repartition("key")  # dealt once for both sides
+    # Slim rows, dealt once for both sides of the join: the class with its family, which is 0 or 1, as the last bit.
+    family = classes.select(F.posexplode("parts").alias("family", "p"), "c").select((F.col("c") * 2 + F.col("family")).alias("cf"), "p")
+    rows = family.select("cf", F.explode("p.hashes").alias("key")).repartition("key")
     members = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     shared = written(rows.join(members, "key"), "ngram-shared")
     common = shared.filter(F.col("members") > MANY)
-    need = common.groupBy("c", "family").agg(F.count(F.lit(1)).alias("n"), F.max("slack").alias("most")).filter("n > most").select("c", "family")
-    return shared.filter(F.col("members") <= MANY).select("key", "c", "members").unionByName(
-        common.join(need, ["c", "family"], "left_semi").select("key", "c", "members")
-    )
+    shown = common.groupBy("cf").agg(F.count(F.lit(1)).alias("n"))
+    need = shown.join(family.select("cf", "p.slack"), "cf").filter("n > slack").select("cf")
+    left = shared.filter(F.col("members") <= MANY).unionByName(common.join(need, "cf", "left_semi"))
+    return left.select("key", F.expr("cf div 2").alias("c"), "members")
 
 
 def open_buckets(left: DataFrame) -> DataFrame:
@@ -149,24 +158,6 @@ def middles(left: DataFrame) -> DataFrame:
     return rows.join(most, "key").filter("mass = most").groupBy("key").agg(F.min("c").alias("middle"), F.max("mass").alias("mass"))
 
 
-def sets_of(docs: DataFrame, key: str, text: str, classes: DataFrame) -> DataFrame:
-    """``c, s``: the sorted shingles of each class (``c, id, d1, d2``)."""
-
-    def run(batches):
-        import hashlib
-
-        shingler = Shingler(WORDS)
-        for batch in batches:
-            for part in slices(batch, 1):
-                sets = [s.tobytes() for s in shingler.sets(part.column(1).to_pylist())]
-                d = np.frombuffer(b"".join(hashlib.blake2b(s, digest_size=16).digest() for s in sets), "<i8").reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(sets, pa.binary())], names=["d1", "d2", "s"])
-
-    plain = docs.select(column(docs, key).cast("long").alias("id"), column(docs, text).alias("text"))
-    rows = plain.join(classes.select("id").distinct(), "id", "left_semi").mapInArrow(run, "d1 long, d2 long, s binary")
-    return rows.join(classes.select("c", "d1", "d2"), ["d1", "d2"]).select("c", "s").dropDuplicates(["c"])
-
-
 def overlap(x: np.ndarray, y: np.ndarray) -> int:
     """The number of common members of two sorted sets."""
     if len(x) > len(y):
@@ -177,51 +168,51 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[np.minimum(at, len(y) - 1)] == x).sum())
 
 
-def _set(scalar) -> np.ndarray:
-    return np.frombuffer(scalar.as_buffer(), np.uint64)
-
+def dealt(cells: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Queries ``c, component, g, salt`` and members alike: a group with many queries comes in several copies."""
+    copies = cells.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("long").alias("k"))
+    queries = cells.join(copies, "g").select("c", "component", "g", F.pmod(F.xxhash64("c"), F.col("k")).alias("salt"))
+    members = groups.join(copies, "g").select("c", "component", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("salt"))
+    return written(queries, "ngram-queries"), written(members, "ngram-members")
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of classes that are linked by their full sets."""
-
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for sa, sb in zip(batch.column(2), batch.column(3)):
-                x, y = _set(sa), _set(sb)
-                common = overlap(x, y)
-                keep.append(100 * common >= PERCENT * (len(x) + len(y) - common))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-    one, two = sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), sets.select(F.col("c").alias("b"), F.col("s").alias("sb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
+def opened(cells: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links ``a, b`` of queries (``c, component, g``) with members of other components of their groups (``c, component, g``).
 
-def matrix(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``g, least, u``: the union of each group's shingles and the size of its smallest member (``g, c, n``)."""
-
-    def run(batches):
-        for batch in batches:
-            unions = [np.unique(np.concatenate([np.frombuffer(s, np.uint64) for s in row])).tobytes() for row in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(unions, pa.binary())], names=["g", "least", "u"])
-
-    gathered = members.join(sets, "c").groupBy("g").agg(F.min("n").alias("least"), F.collect_list("s").alias("all"))  # some GROUP sets
-    return gathered.mapInArrow(run, "g string, least long, u binary")
-
-
-def qualifying(cells: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
-    """The cells ``c, g`` whose overlap leaves room for a link with a member."""
+    In the stream of a task a group's members come before its queries: they make its row of
+    the matrix, the union. A query whose overlap with the union leaves room for a link opens
+    the group and is compared with its members.
+    """
+    queries, members = dealt(cells, groups)
+    rows = [df.withColumn("role", F.lit(role)).join(texts, "c").select("g", "salt", "role", "c", "component", "text") for role, df in enumerate((members, queries))]
+    stream = rows[0].unionByName(rows[1]).repartition("g", "salt").sortWithinPartitions("g", "salt", "role")
 
     def run(batches):
+        shingler, now = Shingler(WORDS), None
+        held: list = []
         for batch in batches:
-            keep = []
-            for s, least, u in zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4)):
-                x = _set(s)
-                smallest = max(least, -(-PERCENT * len(x) // 100))  # no smaller partner links
-                keep.append((100 + PERCENT) * overlap(x, _set(u)) >= PERCENT * (len(x) + smallest))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["c", "g"])
-
-    return cells.join(sets, "c").join(rows, "g").select("c", "g", "s", "least", "u").mapInArrow(run, "c long, g string")
+            for part in slices(batch, 5):
+                links: list[tuple[int, int]] = []
+                g, salt, role, c, component = (part.column(i).to_pylist() for i in range(5))
+                for k, x in enumerate(shingler.sets(part.column(5).to_pylist())):
+                    if (g[k], salt[k]) != now:
+                        now, held, union, least = (g[k], salt[k]), [], None, 0
+                    if role[k] == 0:
+                        held.append((c[k], component[k], x))
+                        continue
+                    if union is None:
+                        union, least = np.unique(np.concatenate([m for _, _, m in held])), min(len(m) for _, _, m in held)
+                    smallest = max(least, -(-PERCENT * len(x) // 100))  # no smaller partner links
+                    if (100 + PERCENT) * overlap(x, union) < PERCENT * (len(x) + smallest):
+                        continue
+                    for member, other, y in held:
+                        if other != component[k] and 100 * min(len(x), len(y)) >= PERCENT * max(len(x), len(y)):
+                            common = overlap(x, y)
+                            if 100 * common >= PERCENT * (len(x) + len(y) - common):
+                                links.append((c[k], member))
+                yield pa.RecordBatch.from_arrays([pa.array([link[i] for link in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return stream.mapInArrow(run, "a long, b long")
 
 
 def _labelled(left: DataFrame, label: DataFrame) -> DataFrame:
@@ -237,8 +228,8 @@ def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
 
 def cells_of(rest: DataFrame, groups: DataFrame) -> DataFrame:
     """``c, component, g``: queries and the groups of other components that share a part with them, one way round."""
-    at = rest.join(groups.select("c", "g"), "c")
-    held = at.groupBy("key", "g").agg(F.min("component").alias("lo"))
+    held = rest.join(groups.select("c", "g"), "c")
+    held = held.groupBy("key", "g").agg(F.min("component").alias("lo"))
     return rest.join(held, "key").filter("component > lo").select("c", "component", "g").distinct()
 
 
@@ -253,24 +244,23 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     ties = member.groupBy("id").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a < b").select("id", "a")
     label = components(written(member.join(ties, "id").select("a", F.col("c").alias("b")).distinct(), "ngram-ties"))
 
-    left = open_buckets(_labelled(buckets(able.select(F.col("row").alias("c"), "parts").join(classes.select("c"), "c")), label))
+    reps = able.join(classes.select("c"), F.col("row") == F.col("c"))
+    left = open_buckets(_labelled(buckets(reps.select("c", "parts")), label))
     if not left.isEmpty():
-        sizes = classes.join(left.select("c").distinct(), "c", "left_semi")
-        sets = written(sets_of(docs, key, text, sizes), "ngram-sets")
-        middle = written(middles(left), "ngram-middles")
-        led = written(
-            left.join(middle, "key").select("c", "component", "middle", "mass").distinct(), "ngram-led"
-        )
-        near = led.filter("c <> middle").select(F.least("c", "middle").alias("a"), F.greatest("c", "middle").alias("b")).distinct()
-        label = _joined(label, written(confirm(_of_size(near, sizes), sets), "ngram-links"))
+        here = written(reps.select("c", F.col("id").alias("rep"), F.col("h").alias("rep_h"), "n").join(left.select("c").distinct(), "c"), "ngram-here")
+        texts = plain(docs, key, text).join(here, (F.col("id") == F.col("rep")) & (F.col("h") == F.col("rep_h"))).select("c", "text")
+        if not able.groupBy("id", "h").count().filter("count > 1").isEmpty():
+            texts = texts.dropDuplicates(["c"])  # repeated rows
+        texts = written(texts, "ngram-texts")
+        led = written(_led(left), "ngram-led")
+        cells = led.filter("c <> g").select("c", "component", "g")
+        heads = cells.select("g").distinct().join(led.select(F.col("c").alias("g"), "component"), "g").select(F.col("g").alias("c"), "component", "g")
+        label = _joined(label, written(opened(cells, heads, texts), "ngram-links"))
         rest = open_buckets(_labelled(left, label))
         if not rest.isEmpty():
-            groups = written(_groups(led, rest, sizes), "ngram-groups")
+            groups = written(_groups(led, rest, here), "ngram-groups")
             cells = written(cells_of(rest, groups), "ngram-cells")
-            passed = written(qualifying(cells.select("c", "g"), sets, matrix(groups, sets)), "ngram-passed")
-            of = groups.join(rest.select("c", "component").distinct(), "c").select("g", F.col("c").alias("b"), F.col("component").alias("other"))
-            pairs = passed.join(cells, ["c", "g"]).join(of, "g").filter("other < component").select(F.col("c").alias("a"), "b").distinct()
-            label = _joined(label, written(confirm(_of_size(pairs, sizes), sets), "ngram-links"))
+            label = _joined(label, written(opened(cells, groups, texts), "ngram-links"))
 
     of_class = classes.join(label.select(F.col("id").alias("c"), "component"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     smallest = of_class.groupBy("component").agg(F.min("id").alias("component_id"))
@@ -281,23 +271,19 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     )
 
 
-def _of_size(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs whose sizes allow a link."""
-    one, two = sizes.select(F.col("c").alias("a"), F.col("n").alias("na")), sizes.select(F.col("c").alias("b"), F.col("n").alias("nb"))
-    both = pairs.join(one, "a").join(two, "b")
-    return both.filter(f"100 * na >= {PERCENT} * nb AND 100 * nb >= {PERCENT} * na").select("a", "b")
+def _led(left: DataFrame) -> DataFrame:
+    """``c, component, g``: each class with the middle of most weight among those of its buckets."""
+    at = written(left.join(middles(left), "key").select("c", "component", "middle", "mass").distinct(), "ngram-middles")
+    most = at.groupBy("c").agg(F.max("mass").alias("mass"))
+    return at.join(most, ["c", "mass"]).groupBy("c", "component").agg(F.min("middle").alias("g"))
 
 
 def _groups(led: DataFrame, rest: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``g, c, n``: the classes of the rest by their heaviest middle, split by hash into groups of bounded size."""
-    here = led.join(rest.select("c").distinct(), "c", "left_semi")
-    most = here.groupBy("c").agg(F.max("mass").alias("mass"))
-    leader = here.join(most, ["c", "mass"]).groupBy("c").agg(F.min("middle").alias("middle")).join(sizes.select("c", "n"), "c")
-    split = leader.groupBy("middle").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(F.sum("n") / UNION)).cast("long").alias("k")
-    )
+    """``g, c, component``: the classes of the rest by their middle, split by hash into groups of bounded size."""
+    here = rest.select("c", "component").distinct().join(led.select("c", F.col("g").alias("middle")), "c").join(sizes.select("c", "n"), "c")
+    split = here.groupBy("middle").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(F.sum("n") / UNION)).cast("long").alias("k"))
     group = F.concat_ws("-", F.col("middle").cast("string"), F.pmod(F.xxhash64("c"), F.col("k")).cast("string"))
-    return leader.join(split, "middle").select(group.alias("g"), "c", "n")
+    return here.join(split, "middle").select(group.alias("g"), "c", "component")
 
 
 def op12_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,6 +55,18 @@ def flatten_long(records: DataFrame) -> DataFrame:
     return occurrence_number(records)
 
 
+def numbered_slots(records: DataFrame, limits: dict[str, int]) -> DataFrame:
+    """Detail records with ``occ`` and ``slot``, the occurrence under which the wide row has their cells.
+
+    ``slot`` is 0 where a type's columns have no number, and null for a record without a
+    contract that the wide row has no columns for.
+    """
+    numbered = [t for t in sorted(limits) if slots_of(t, limits) != [0]]
+    slot = F.when(F.col("record_type").isin(*numbered), F.col("occ")).otherwise(F.lit(0).cast("bigint"))
+    beyond = (F.col("contract") == NO_CONTRACT) & _repeats() & (F.col("occ") > _limit(limits))
+    return occurrence_number(records).withColumn("slot", F.when(~beyond, slot))
+
+
 def unplaced(records: DataFrame, limits: dict[str, int]) -> DataFrame:
     """Records without a contract that the wide row has no columns for, in the long form."""
     stray = occurrence_number(records.filter(F.col("contract") == NO_CONTRACT))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contractloom.functions.text import code_tag, error_codes, parse_errors, strip, strip_leading_zeros
 
@@ -96,16 +97,40 @@ def failure_categories(responses: DataFrame) -> DataFrame:
 RESPONSE_SCHEMA = "Policy_Number string, Withdrawal_Type string, Status string, Result_code string, Error_Descriptions string"
 
 
-def read_responses(spark: SparkSession, path: str, *, encoding: str = "UTF-8") -> DataFrame:
-    """Responses from delimited text with a header, by column name; absent columns are null."""
-    df = (
-        spark.read.option("header", True).option("escape", '"').option("multiLine", True)
-        .option("encoding", encoding).csv(path)
-    )
+_BROKEN = "_broken"
+
+
+def scan_responses(spark: SparkSession, path: str, *, encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
+    """Delimited responses by column name, with ``file`` and, of a line that is none, its text in ``_broken``.
+
+    The names come from the header, which all files must share. A line with more or fewer
+    fields than it is broken. Files are split over tasks, unless fields hold line ends
+    (``multi_line``), which ties a file to one task.
+    """
+    # Only a line that is read as a whole shows how many fields it has.
+    options = {"header": True, "escape": '"', "encoding": encoding, "multiLine": multi_line, "columnPruning": False}
+    have = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*have, _BROKEN]])
+    lines = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN, enforceSchema=False).schema(schema).csv(path)
     wanted = [c.split() for c in RESPONSE_SCHEMA.split(", ")]
-    return df.select(*(
-        (F.col(f"`{n}`") if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in wanted
-    ))
+    return lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        *((F.col(f"`{n}`") if n in have else F.lit(None)).cast(t).alias(n) for n, t in wanted), _BROKEN,
+    )
+
+
+def read_responses(spark: SparkSession, path: str, *, encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
+    """Responses from delimited text with a header, by column name; absent columns are null. Broken lines are left out."""
+    lines = scan_responses(spark, path, encoding=encoding, multi_line=multi_line)
+    return lines.filter(F.col(_BROKEN).isNull()).drop("file", _BROKEN)
+
+
+def response_rejects(spark: SparkSession, path: str, *, encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
+    """``file, line`` of what ``read_responses`` leaves out."""
+    lines = scan_responses(spark, path, encoding=encoding, multi_line=multi_line)
+    # Spark reads no file for its broken lines alone, so a field is looked at too; the test always holds.
+    looked_at = F.coalesce("Policy_Number", F.lit("")) >= ""
+    return lines.filter(F.col(_BROKEN).isNotNull() & looked_at).select("file", F.col(_BROKEN).alias("line"))
 
 
 def crossref_responses(responses: DataFrame, validation: DataFrame) -> DataFrame:

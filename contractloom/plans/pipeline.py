@@ -24,8 +24,8 @@ class Positions:
     unplaced: DataFrame
 
     def write(self, folder: str) -> tuple[str, str]:
-        """The wide rows and the records that they have no columns for, as CSV in two folders."""
-        return (tables.write_csv(flatten.csv_rows(self.wide), f"{folder}/wide"),
+        """The wide rows in order of first appearance, and the records that they have no columns for, as CSV in two folders."""
+        return (tables.write_csv(self.wide, f"{folder}/wide", order=list(flatten.META_COLUMNS), drop=list(flatten.META_COLUMNS)),
                 tables.write_csv(self.unplaced, f"{folder}/unplaced"))
 
     def mismatches(self, wide: DataFrame | None = None) -> DataFrame:

@@ -309,3 +309,44 @@ def break_requests(requests: DataFrame) -> DataFrame:
         "FailureReason": F.when(k % 23 == 0, "bad number").otherwise(""),
     }
     return requests.withColumns(broken)
+
+
+def damage_documents(made: DataFrame) -> DataFrame:
+    """Documents with a fault in their marks, by the order key in their file name.
+
+    k % 9 = 0: cut off; 1: another root; 2: a document type (harmless); 3: the message in
+    another namespace by a declaration of its own; 4: the message's prefix declared anew under
+    another name (harmless); 5: a prefix that nothing declares; 6: text behind the root; 7:
+    the message in a default namespace (its amount is in that too); else none.
+    """
+    k, xml = F.regexp_extract("filename", "C([0-9]+)", 1).cast("bigint") % 9, F.col("xml")
+    uri = "http://ACORD.org/Standards/Life/2"
+    wrong = (
+        F.when(k == 0, F.substring(xml, F.lit(1), F.length(xml) - 30))
+        .when(k == 1, F.replace(xml, F.lit("soap:Envelope"), F.lit("soap:Wrapping")))
+        .when(k == 2, F.concat(F.lit("<!DOCTYPE Envelope [<!ELEMENT Extra EMPTY>]>"), xml))
+        .when(k == 3, F.replace(xml, F.lit("<ns3:VI21208_Msg>"), F.lit('<ns3:VI21208_Msg xmlns:ns3="urn:other">')))
+        .when(k == 4, F.replace(F.replace(F.replace(xml, F.lit("<ns3:"), F.lit("<q:")), F.lit("</ns3:"), F.lit("</q:")),
+                                F.lit("<q:VI21208_Msg>"), F.lit(f'<q:VI21208_Msg xmlns:q="{uri}" xmlns:ns3="urn:unused">')))
+        .when(k == 5, F.replace(xml, F.lit("</soap:Body>"), F.lit("<zz:none/></soap:Body>")))
+        .when(k == 6, F.concat(xml, F.lit("behind")))
+        .when(k == 7, F.replace(F.replace(F.replace(xml, F.lit("<ns3:"), F.lit("<")), F.lit("</ns3:"), F.lit("</")),
+                                F.lit("<VI21208_Msg>"), F.lit(f'<VI21208_Msg xmlns="{uri}">')))
+        .otherwise(xml)
+    )
+    return made.withColumn("xml", wrong)
+
+
+def response_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value``: the responses as lines of CSV; one is cut short when k % 101 = 0, one has a field too many when k % 103 = 0."""
+    def field(name: str) -> Column:
+        quoted = F.concat(F.lit('"'), F.replace(F.col(name), F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.coalesce(quoted, F.lit(""))
+
+    names = ("Policy_Number", "Withdrawal_Type", "Status", "Result_code", "Error_Descriptions")
+    k = F.col("Policy_Number").cast("bigint")
+    return responses(spark, sf_dir).select(
+        F.when(k % 101 == 0, F.concat_ws(",", "Policy_Number", "Status"))
+        .when(k % 103 == 0, F.concat(F.concat_ws(",", *(field(n) for n in names)), F.lit(",more")))
+        .otherwise(F.concat_ws(",", *(field(n) for n in names))).alias("value")
+    )

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import textwrap
 
+from contractloom.spec.dictionary import request_schema
 from contractloom.workloads.fixture import RESPONSE_CODES, WITHDRAWAL_TYPES
 
 RUN_TS = "2026-03-31 12:00:00"
@@ -412,6 +413,28 @@ oracle("reconcile_report", LINES, """
       0::BIGINT AS error_count, '' AS errors
     FROM contracts WHERE k % 50 = 0""")
 
+CHECKED = """(SELECT sum(CASE t WHEN '1301' THEN 18 WHEN '1302' THEN 17 WHEN '1303' THEN 14
+                  WHEN '1305' THEN 14 WHEN '1309' THEN 21 ELSE 24 END) FROM typed WHERE contract NOT LIKE '%77')::BIGINT"""
+# Contracts that end with 77 have no row; the role of the first party and the value of the first feature are never empty.
+oracle("reconcile_bad_header", LINES, f"""
+    SELECT false AS valid, count(*) AS expected_contracts,
+      count(*) FILTER (WHERE NOT gone) AS actual_contracts, {CHECKED} AS total_fields_checked,
+      (sum(CASE WHEN gone THEN 0 ELSE 2 + CASE WHEN k % 50 = 0 THEN 2 ELSE 0 END
+        + CASE WHEN contract LIKE '%5' THEN 1 + CASE WHEN k % 50 = 0 THEN 1 ELSE 0 END ELSE 0 END END))::BIGINT AS mismatch_count,
+      (count(*) FILTER (WHERE NOT gone)
+        + (SELECT count(*) FROM (SELECT DISTINCT contract, t FROM typed WHERE contract LIKE '%77')))::BIGINT AS missing_record_type_count,
+      0::BIGINT AS unplaced_records,
+      (2 + CASE WHEN count(*) FILTER (WHERE gone) > 0 THEN 1 ELSE 0 END + count(*) FILTER (WHERE gone))::BIGINT AS error_count,
+      concat_ws('; ',
+        CASE WHEN count(*) FILTER (WHERE gone) > 0 THEN 'Contract count mismatch: expected ' || count(*)::VARCHAR || ', got '
+          || (count(*) FILTER (WHERE NOT gone))::VARCHAR END,
+        'Missing CSV columns: [''1309_Party_Last_Name_1'', ''1315_Service_Feature_Value_1'']',
+        'Extra CSV columns: [''Extra_Column'']') AS errors
+    FROM (SELECT *, contract LIKE '%77' AS gone FROM contracts)""")
+oracle("reconcile_missing", LINES, """
+    SELECT file, contract, 'all' AS record_type FROM contracts WHERE contract LIKE '%77'
+    UNION ALL SELECT DISTINCT file, contract, t FROM typed WHERE contract LIKE '%77' OR t = '1315'""")
+
 oracle("strip_suffix", "", """
     SELECT o_orderkey, 'P' || o_orderkey::VARCHAR ||
       CASE o_orderkey % 6 WHEN 4 THEN 'MV' WHEN 5 THEN 'AB' ELSE '' END AS base FROM orders""")
@@ -639,6 +662,18 @@ oracle("document_table", FACTS, """
            max(place) + 1 AS first_line FROM facts GROUP BY base""")
 oracle("validate_documents", BROKEN, """
     SELECT filename, pol AS policy_number, errors = '' AS valid, errors FROM documents_made""")
+oracle("validate_damaged_documents", BROKEN, """
+    SELECT filename, CASE WHEN k % 9 IN (0, 5, 6) OR k % 9 = 3 THEN 'UNKNOWN' ELSE pol END AS policy_number,
+      k % 9 IN (0, 5, 6) AS malformed,
+      CASE WHEN k % 9 IN (0, 1, 3, 5, 6) THEN false
+           WHEN k % 9 = 7 THEN errors = '' AND sub_tc <> '4' ELSE errors = '' END AS valid,
+      CASE WHEN k % 9 IN (0, 5, 6) THEN 'XML parse error: document is not well-formed'
+           WHEN k % 9 = 1 THEN 'SOAP Envelope element not found'
+           WHEN k % 9 = 3 THEN 'Required field ''MessageType'' is missing or empty'
+           WHEN k % 9 = 7 AND sub_tc = '4' THEN coalesce(e_guid, e_type, e_pol, e_mode_tc, e_mode_text, string_split(e_state, '; ')[1],
+             'Conditional field ''ModalAmt'' required when ArrSubType tc=4 (Specified Amount)')
+           ELSE coalesce(e_guid, e_type, e_pol, e_mode_tc, e_mode_text, string_split(e_state, '; ')[1], e_modal, e_party, e_relation) END AS first_error
+    FROM documents_made""")
 oracle("rule_presence", BROKEN, """
     SELECT filename, concat_ws('; ', e_party, e_relation) AS errors FROM documents_made
     WHERE e_party IS NOT NULL OR e_relation IS NOT NULL""")
@@ -782,6 +817,56 @@ oracle("scan_xml_documents", "", """
     SELECT 'page' || page_id::VARCHAR || CASE WHEN page_id % 3 = 0 THEN '.XML' ELSE '.xml' END AS filename,
       length(html)::INT AS characters, md5(html) AS digest
     FROM pages WHERE page_id % 3 <> 2""")
+_COLUMNS = ", ".join(
+    f"({i}, '{f.name}', '{f.metadata['comment'].replace(chr(39), chr(39) * 2)}')" for i, f in enumerate(request_schema(), 1))
+oracle("request_table_columns", REQUESTS, f"""
+    SELECT position, column_name, 'string' AS data_type, comment, (SELECT count(*) FROM requests) AS n_rows
+    FROM (VALUES {_COLUMNS}) v(position, column_name, comment)""")
+oracle("sink_csv_order", CONTRACTS, """
+    SELECT count(*) AS rows, 0 AS late, 0 AS overlapping_files FROM contracts""")
+ORACLES["sink_scorecard"] = ORACLES["scorecard"]
+ORACLES["sink_runs"] = f"""WITH made AS ({ORACLES["scorecard"]}), pages AS (
+  SELECT CASE WHEN "Status" = 'PASS' THEN 'success' ELSE 'unsuccessful' END AS outcome, "FileName" AS filename FROM made
+)
+SELECT run_id, outcome, count(*) AS n FROM pages, (VALUES ('2026-03-30'), ('2026-03-31')) r(run_id)
+WHERE run_id = '2026-03-30' OR outcome = 'success' GROUP BY ALL"""
+oracle("sink_packed_documents", "", """
+    SELECT 'page' || page_id::VARCHAR AS filename, length(html)::INT AS characters, md5(html) AS digest
+    FROM pages WHERE page_id % 2 = 0""")
+_ERROR = """CASE shape WHEN 'none' THEN NULL WHEN 'empty' THEN '[]'
+        WHEN 'text' THEN '300-System is not available at this time, please try again later'
+        WHEN 'object' THEN '{"ResultInfoCode": "2027"}'
+        ELSE '[{"ResultInfoCode": "' || code_1 || '", "ResultInfoDesc": "about ' || code_1 || ' in row ' || (k % 5)::VARCHAR || '"}'
+          || CASE WHEN shape = 'two' THEN ', {"ResultInfoCode": "' || code_2 || '", "ResultInfoDesc": "about ' || code_2
+               || ' in row ' || (k % 5)::VARCHAR || '"}' ELSE '' END || ']' END"""
+_ANSWERED = f"""{RESPONSES}, told AS (
+  SELECT *, CASE WHEN ok AND k % 6 = 0 THEN '2' WHEN ok THEN '1' ELSE '5' END AS result,
+    CASE WHEN ok THEN 'Success' ELSE 'Failure' END AS status, {_ERROR} AS descr FROM answers
+)"""
+oracle("read_responses", _ANSWERED, """
+    SELECT policy AS "Policy_Number", wtype AS "Withdrawal_Type", status AS "Status", result AS "Result_code",
+      descr AS "Error_Descriptions" FROM told WHERE k % 101 <> 0 AND k % 103 <> 0""")
+oracle("response_rejects", _ANSWERED, """
+    SELECT CASE WHEN k % 101 = 0 THEN policy || ',' || status
+      ELSE '"' || policy || '","' || wtype || '","' || status || '","' || result || '",'
+        || coalesce('"' || replace(descr, '"', '""') || '"', '') || ',more' END AS line
+    FROM told WHERE k % 101 = 0 OR k % 103 = 0""")
+oracle("read_wide_tables", FACTS, """
+    SELECT file, contract AS "Contract_Number", cusip, CASE WHEN k % 4 < 2 THEN amount_1_text ELSE '' END AS amount,
+      CASE WHEN k % 4 < 2 THEN '' ELSE agent_last_name END AS agent FROM facts""")
+oracle("run_totals", LINES, """
+    SELECT (SELECT 2 * count(DISTINCT file) FROM contracts) AS files,
+      (2 * t + 2 * o + 4 * f)::BIGINT AS total_lines, (2 * t + 2 * f)::BIGINT AS parsed_lines,
+      (2 * o + 2 * f)::BIGINT AS skipped_lines, (2 * junk)::BIGINT AS error_count
+    FROM (SELECT (SELECT count(*) FROM typed) AS t, (SELECT count(*) FROM odd) AS o,
+      (SELECT count(*) FROM odd WHERE value LIKE 'XX%') AS junk, (SELECT count(DISTINCT file) FROM contracts) AS f)""")
+oracle("file_metadata_standard", LINES, """
+    SELECT file, 'POV' AS file_type, 'standard' AS file_format, '20260331' AS valuation_date,
+      (n + o + 4)::BIGINT AS total_lines, (n + 2)::BIGINT AS parsed_lines, (o + 2)::BIGINT AS skipped_lines,
+      junk::BIGINT AS error_count, 8 AS types
+    FROM (SELECT file, count(*) AS n FROM typed GROUP BY file)
+    JOIN (SELECT file, count(o.k) AS o, count(o.k) FILTER (o.value LIKE 'XX%') AS junk
+          FROM (SELECT DISTINCT file FROM contracts) LEFT JOIN odd o USING (file) GROUP BY file) USING (file)""")
 oracle("entry", AUDITED, f"""
     SELECT file, {VALIDATION}, reasons AS "Failure_Reasons", codes AS "Predicted_Error_Codes",
            CASE WHEN codes = '' THEN 'PASS' ELSE codes END AS "Result"

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contractloom.functions import lines as line_fn
@@ -82,6 +83,12 @@ def _wide_table(spark: SparkSession, sf: str) -> DataFrame:
     return written(_wide(spark, sf), "wide", "Contract_Number")
 
 
+@lru_cache(maxsize=16)
+def _checked(spark: SparkSession, sf: str) -> DataFrame:
+    """The verdict on every document of broken requests as a written table: what scorecards are made of."""
+    return written(documents.validate_documents(_documents(spark, sf)), "checked", "filename")
+
+
 def _field(record_type: str, name: str) -> Column:
     return line_fn.field_of(F.col("raw"), record_type, name)
 
@@ -262,6 +269,28 @@ def reconcile_report(spark, sf):
     ).withColumn("errors", F.array_join("errors", "; ")).drop("unplaced_records")
 
 
+# Columns that the header below lacks: a cell, and the first column of a type.
+LOST_COLUMNS = ("1309_Party_Last_Name_1", "1315_Service_Feature_Value_1")
+
+
+@query
+def reconcile_bad_header(spark, sf):
+    """The report on a wide table that lacks columns, has one too many, lost some contracts and holds a wrong cell."""
+    wide = _wide_table(spark, sf).filter(~F.col("Contract_Number").endswith("77")).drop(*LOST_COLUMNS)
+    wrong = F.when(F.col("Contract_Number").endswith("5"), "?").otherwise(F.col("`1301_CUSIP_Number`"))
+    wide = wide.withColumn("Extra_Column", F.lit("x")).withColumn("1301_CUSIP_Number", wrong)
+    return reconcile.report(_records(spark, sf), wide, dict(_limits(spark, sf))).withColumn("errors", F.array_join("errors", "; "))
+
+
+@query
+def reconcile_missing(spark, sf):
+    """Contracts and types that a table without some rows and without a type's first column cannot show."""
+    wide = _wide_table(spark, sf).filter(~F.col("Contract_Number").endswith("77")).drop(*LOST_COLUMNS)
+    parsed, limits = _records(spark, sf), dict(_limits(spark, sf))
+    lost = reconcile.missing_contracts(parsed, wide).withColumn("record_type", F.lit("all"))
+    return lost.unionByName(reconcile.missing_record_types(parsed, wide, limits))
+
+
 @query
 def reconcile_stray_report(spark, sf):
     """The report where a third of the value lines have lost their contract."""
@@ -607,6 +636,13 @@ def validate_documents(spark, sf):
                           F.array_join("errors", "; ").alias("errors"))
 
 
+@query
+def validate_damaged_documents(spark, sf):
+    """Documents that are cut off, have another root, a document type, or other namespaces: verdict and first error."""
+    checked = documents.validate_documents(fixture.damage_documents(_documents(spark, sf)))
+    return checked.select("filename", "policy_number", "malformed", "valid", F.get("errors", F.lit(0)).alias("first_error"))
+
+
 @query
 def rule_presence(spark, sf):
     parsed = documents.parse_documents(_documents(spark, sf))
@@ -619,8 +655,8 @@ def rule_tax_lookup(spark, sf):
     parsed = documents.parse_documents(_documents(spark, sf))
     doc = F.col("doc")
     return parsed.select(
-        "filename", documents.withholding(doc, "1")["_id"].alias("federal_id"),
-        documents.withholding(doc, "2")["_id"].alias("state_id"))
+        "filename", documents.withholding(doc, "1")["id"].alias("federal_id"),
+        documents.withholding(doc, "2")["id"].alias("state_id"))
 
 
 @query
@@ -805,6 +841,114 @@ def scan_xml_documents(spark, sf):
         "filename", F.length("xml").alias("characters"), F.md5(F.col("xml").cast("binary")).alias("digest"))
 
 
+@query
+def sink_csv_order(spark, sf):
+    """The wide CSV read back in order of its files: rows, and rows that stand before an earlier one."""
+    wide = _wide_table(spark, sf)
+    order = list(flatten.META_COLUMNS)
+    path = tables.write_csv(wide, fresh_path(spark, "ordered-csv"), order=order, drop=order)
+    back = spark.read.option("header", True).option("escape", '"').csv(path).select(
+        "Contract_Number", F.col("_metadata.file_name").alias("part"), F.monotonically_increasing_id().alias("row"))
+    placed = back.join(wide.select("Contract_Number", *order), "Contract_Number")
+    at = F.struct(*order)
+    before = F.lag(at).over(Window.partitionBy("part").orderBy("row"))
+    parts = placed.withColumn("late", before > at).groupBy("part").agg(
+        F.count("*").alias("rows"), F.count_if("late").alias("late"), F.min(at).alias("first"), F.max(at).alias("last"))
+    overlap = F.lag("last").over(Window.orderBy("part")) > F.col("first")  # one row a file
+    return parts.withColumn("overlap", overlap).agg(
+        F.sum("rows").alias("rows"), F.sum("late").alias("late"), F.count_if("overlap").alias("overlapping_files"))
+
+
+@query
+def sink_scorecard(spark, sf):
+    """A scorecard written as CSV in order of its documents and read back."""
+    path = tables.write_scorecard(documents.scorecard(_checked(spark, sf), timestamp=RUN_TS), fresh_path(spark, "scorecard"))
+    return spark.read.option("header", True).option("escape", '"').csv(path)
+
+
+@query
+def sink_runs(spark, sf):
+    """Two runs under one path, the second made twice: both are there, and nothing of its first attempt."""
+    made = documents.with_outcome(_checked(spark, sf), F.col("valid")).select("filename", "xml", "outcome")
+    path = fresh_path(spark, "runs")
+    tables.write_by_outcome(made, path, run_id="2026-03-30")
+    tables.write_by_outcome(made, path, run_id="2026-03-31")
+    tables.write_by_outcome(made.filter("outcome = 'success'"), path, run_id="2026-03-31")
+    return tables.read_runs(spark, path).groupBy("run_id", "outcome").agg(F.count("xml").alias("n"))
+
+
+@query
+def sink_packed_documents(spark, sf):
+    """Pages packed to large files and read back by their index: every other one, by name."""
+    folder = fresh_path(spark, "packed")
+    pages = fixture.table(spark, sf, "pages").select(
+        F.concat(F.lit("page"), F.col("page_id").cast("string")).alias("filename"), F.col("html").alias("xml"))
+    index = tables.pack_documents(pages, folder)
+    names = index.filter(F.substring("filename", 5, 20).cast("bigint") % 2 == 0)
+    return tables.read_packed(spark, folder, names).select(
+        "filename", F.length("xml").alias("characters"), F.md5(F.col("xml").cast("binary")).alias("digest"))
+
+
+def _response_csv(spark, sf) -> str:
+    path = fresh_path(spark, "responses-csv")
+    fixture.response_lines(spark, sf).write.option("header", False).text(path)
+    # A header in each file, as each has one in a folder of responses.
+    numbered = spark.read.text(path).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(8))).withColumn("i", F.lit(1))
+    header = F.lit("Policy_Number,Withdrawal_Type,Status,Result_code,Error_Descriptions")
+    heads = numbered.select("part").distinct().select(header.alias("value"), "part", F.lit(0).alias("i"))
+    whole = fresh_path(spark, "responses-csv")
+    (numbered.unionByName(heads).repartition("part").sortWithinPartitions("part", "i").drop("i").write.partitionBy("part").text(whole))
+    return f"{whole}/*"
+
+
+@query
+def read_responses(spark, sf):
+    return responses.read_responses(spark, _response_csv(spark, sf))
+
+
+@query
+def response_rejects(spark, sf):
+    return responses.response_rejects(spark, _response_csv(spark, sf)).select("line")
+
+
+@query
+def request_table_columns(spark, sf):
+    """A request table made in the catalog and filled: its columns as the catalog has them, and its rows."""
+    name = tables.create_request_table(spark, f"contractloom_requests_{uuid.uuid4().hex}")
+    try:
+        _broken(spark, sf).select(*(e.column_name for e in DICTIONARY)).write.insertInto(name)
+        n = tables.read_table(spark, name).count()
+        return tables.table_columns(spark, name).withColumn("n_rows", F.lit(n))
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+@query
+def read_wide_tables(spark, sf):
+    """Wide tables of two sets of files with different record types, written apart and read as one."""
+    parsed, limits, path = _records(spark, sf), dict(_limits(spark, sf)), fresh_path(spark, "wide-tables")
+    for name, files, types in (("a", ("0", "1"), ("1301", "1302")), ("b", ("2", "3"), ("1301", "1305"))):
+        some = parsed.filter(F.substring("file", 5, 1).isin(*files) & F.col("record_type").isin(*types))
+        tables.write_wide(flatten.flatten(some, {t: n for t, n in limits.items() if t in types}), path, name)
+    return tables.read_wide(spark, path).select(
+        "file", "Contract_Number", F.col("1301_CUSIP_Number").alias("cusip"),
+        F.col("1302_Contract_Value_Amount_1_1").alias("amount"), F.col("1305_Agent_Last_Name_1").alias("agent"))
+
+
+@query
+def run_totals(spark, sf):
+    """The totals of a run over standard and extended files, each file's facts summed up."""
+    files = [fixed_width.file_metadata(fixture.position_lines(spark, sf, extended=e)) for e in (True, False)]
+    return fixed_width.run_totals(files[0].unionByName(files[1]))
+
+
+@query
+def file_metadata_standard(spark, sf):
+    """Facts of files with a frame and a header: the header's kind and date count."""
+    files = fixed_width.file_metadata(fixture.position_lines(spark, sf, extended=False))
+    return files.withColumn("types", F.size("record_type_counts")).drop("record_type_counts")
+
+
 # --- Flagship -------------------------------------------------------------
 
 @query

@@ -38,9 +38,8 @@ def test_document_type_and_spaced_declarations_are_well_formed(spark):
         '<s:Envelope><s:Body/></s:Envelope>', XML + "x", XML[:-3],
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, xml string")
-    plain = documents._plain(F.col("xml"))
-    bad = documents._ill_formed(F.trim(plain), F.lit(None).cast("string"))
-    assert [r["b"] for r in df.orderBy("i").select(bad.alias("b")).collect()] == [False, False, False, True, True, True]
+    bad = documents.parse_documents(df).orderBy("i").select("doc.malformed").collect()
+    assert [r[0] for r in bad] == [False, False, False, True, True, True]
 
 
 def test_responses_are_read_by_name(spark, tmp_path):

@@ -6,8 +6,11 @@ its longest prefix match by binary search, and then ascends in all trees at once
 at a time, until the vectors under its prefixes are enough. Those are compared exactly,
 in double precision on the original vectors.
 
-The largest inner product is searched: for the hash only, vectors are brought to one
-length by a further component, so that neighbours by angle are neighbours by product.
+The largest inner product is searched: for the hash only, stored vectors are brought to one
+length by a further component, which is 0 in a query, so that the nearest by angle are
+those of the largest product. A block is parted into bands of lengths that differ by
+``BAND`` at most, each with arrays of its own: so the further component stays small and short
+vectors do not blur the order of long ones.
 
 Vectors are in blocks of bounded size, each with a forest of its own, and queries in
 blocks as well; every block of queries visits every block of vectors, and each task
@@ -18,8 +21,9 @@ repeat is one entry.
 
 Defined results: vectors that are null, of no or differing length, zero, or that hold
 null or non-finite components take no part, neither as query nor as candidate; rows with
-a null id neither. Ties go to the smaller id. Rows of one id and vector count once. An
-empty table gives no row.
+a null id neither. Ties go to the smaller id. Rows of one id and vector count once; an id
+with several vectors is as many candidates, and may take as many ranks. An empty table
+gives no row.
 """
 
 from __future__ import annotations
@@ -37,6 +41,7 @@ NEIGHBOURS = 20
 VECTOR_BLOCK = 8192
 QUERY_BLOCK = 1024
 SHARE = 0.8  # of a block's vectors, counted in all trees, that end the ascent
+BAND = 1.25
 SEED = 11
 
 
@@ -45,7 +50,7 @@ def planes(dims: int, trees: int = TREES, bits: int = BITS) -> np.ndarray:
 
 
 def hash_strings(x: np.ndarray, longest: float, normals: np.ndarray, trees: int = TREES, bits: int = BITS) -> np.ndarray:
-    """The hash string of each vector in each tree, its first bit the highest."""
+    """The hash string of each vector in each tree, its first bit the highest; ``longest`` is 0 for queries."""
     rest = np.sqrt(np.maximum(longest**2 - (x * x).sum(1), 0.0))
     out = np.empty((len(x), trees), np.uint32)
     weights = (np.uint64(1) << np.arange(bits - 1, -1, -1, dtype=np.uint64)).astype(np.float64)
@@ -83,14 +88,14 @@ class Forest:
             open_[at[(hi[at] - lo[at]).sum(1) >= enough]] = False
         return lo, hi
 
-    def search(self, queries: np.ndarray, longest: float, normals: np.ndarray, share: float, least: int):
+    def search(self, queries: np.ndarray, normals: np.ndarray, share: float, least: int):
         """The candidates of each query, as row numbers of the block.
 
         The ascent ends with ``share`` of the block's size, counted over all trees, besides
         one entry a tree, which the query itself may be. With fewer than ``least``
         vectors by then it goes on to the roots.
         """
-        strings = hash_strings(queries, longest, normals, self.trees, self.bits)
+        strings = hash_strings(queries, 0.0, normals, self.trees, self.bits)
         lo, hi = self.ranges(strings, self.trees + int(share * len(self.vectors)))
         for q in range(len(queries)):
             seen = np.zeros(len(self.vectors), bool)
@@ -101,6 +106,23 @@ class Forest:
             yield found if len(found) >= least else np.arange(len(self.vectors))
 
 
+class Bands:
+    """The forests of one block, by length of its vectors."""
+
+    def __init__(self, vectors: np.ndarray, normals: np.ndarray, trees: int = TREES, bits: int = BITS):
+        largest = np.abs(vectors).max(1)
+        length = largest * np.sqrt(((vectors / largest[:, None]) ** 2).sum(1))
+        band = np.floor((np.log(length) - np.log(length.min())) / np.log(BAND) + 1e-9).astype(int)
+        self.rows = [np.flatnonzero(band == b) for b in np.unique(band)]
+        # Sides of planes do not change with the scale, so the longest of a band is taken for 1.
+        self.forests = [Forest(vectors[r] / length[r].max(), 1.0, normals, trees, bits) for r in self.rows]
+
+    def search(self, queries: np.ndarray, normals: np.ndarray, share: float, least: int):
+        """The candidates of each query in all bands, as row numbers of the block."""
+        for found in zip(*(f.search(queries, normals, share, least) for f in self.forests)):
+            yield np.concatenate([rows[at] for rows, at in zip(self.rows, found)])
+
+
 def nearest(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 20, k: int = NEIGHBOURS,
             share: float = SHARE, trees: int = TREES, bits: int = BITS, vector_block: int = VECTOR_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id, rank, id, score`` for the queries, the rows whose key ``every`` divides."""
@@ -119,8 +141,8 @@ def nearest(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", eve
     place = Window.partitionBy("v").orderBy("id")
     few = sound.distinct().withColumn("_n", F.row_number().over(place)).filter(F.col("_n") <= k + 1)
     classes = few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    classes = written(classes.withColumn("norm2", F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)), "forest-vectors")
-    total, longest = classes.agg(F.count(F.lit(1)), F.sqrt(F.max("norm2"))).first()
+    classes = written(classes, "forest-vectors")
+    total = classes.count()
     blocks = max(1, -(-total // vector_block))
     asked = written(sound.filter(F.col("id") % every == 0).distinct(), "forest-queries")
     parts = max(1, -(-asked.count() // query_block))
@@ -139,12 +161,12 @@ def nearest(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", eve
             return pa.table([pa.array([], x) for x in (pa.int64(), pa.int64(), pa.float64())], names)
         x, q = matrix(points_), matrix(askers_)
         normals = planes(dims, trees, bits)
-        forest = Forest(x, longest, normals, trees, bits)
+        forest = Bands(x, normals, trees, bits)
         ids = points_.column("ids").to_pylist()
         lead = np.array([i[0] for i in ids])
         out = [[], [], []]
         asker = askers_.column("id").to_pylist()
-        for n, found in enumerate(forest.search(q, longest, normals, share, k + 1)):
+        for n, found in enumerate(forest.search(q, normals, share, k + 1)):
             score = exact(x[found], q[n])
             if len(found) > k + 1:  # enough entries for k ids besides the query's own, with all ties
                 cut = np.partition(score, len(score) - k - 1)[len(score) - k - 1]

@@ -87,6 +87,12 @@ class WordEncoder:
                 ids = letters[core] = array("I", [t.id for t in tokenize(mapped)]).tobytes()
             known[w] = ids + known[tail] if tail else ids
 
+    def size(self, word: str) -> int:
+        """The number of a word's ids, also where the cache has begun anew since it was encoded."""
+        if word not in self.known:
+            self._learn({word})
+        return len(self.known[word]) // 4
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
         found = [list(map(self.known.get, words)) for words in split]
@@ -264,7 +270,7 @@ def loss_mask(encoder: WordEncoder, text: str, spans: list[dict]) -> np.ndarray:
         inside[s["start"] : s["end"]] = True
     mask, at = [], 0
     for word in text.replace("\n", " ").split(" "):
-        mask += [bool(inside[at])] * (len(encoder.known[word]) // 4)
+        mask += [bool(inside[at])] * encoder.size(word)
         at += len(word) + 1
     return np.array([*mask, True])
 

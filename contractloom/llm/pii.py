@@ -9,7 +9,9 @@ script, and every surface keeps its format (separators, letter case, country cod
 2. Each distinct entity draws a surrogate from a keyed hash. Where two entities drew the
    same one, or one drew what is itself an entity of the corpus, all but the first draw
    again with the next count, until no collision is left (distinctness). Names and mail
-   boxes grow with the count, so there is room for any number of them.
+   boxes grow with the count, so there is room for any number of them. Numbers keep their
+   length: where a corpus holds so many of one length that ``ROUNDS`` draws find no free
+   one, those left change places in a keyed order, which is distinct as it stands.
 3. Surrogates are joined to the distinct surfaces of each text, and the pieces between
    and in place of the matches are put together again.
 
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from .common import column, fresh_name, read, written
 
 KEY = "surrogate-key-1"
+ROUNDS = 6  # draws of an entity whose surrogates have a fixed length before it changes places with others like it
 
 # Titles announce a person; the name after them is replaced. By gender, "u" where they tell none.
 TITLES = {
@@ -69,10 +72,13 @@ PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![A-Za-z0-9.-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5}|\d{13,19})(?![A-Za-z0-9])(?![.-]\d)",
-    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
+    "ip": r"(?<![\d.])(?<![vV])(?<![vV]ersion )(?<![vV]\. )(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d)",
-    "phone": r"(?<![A-Za-z0-9-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!-?[A-Za-z0-9])",
-    "intl": r"(?<![A-Za-z0-9+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)",
+    # A country code or an area in brackets, or three, three and four digits with one sign between: plain numbers, lists
+    # of years and versions have none of them.
+    "phone": r"(?<![A-Za-z0-9-])(?:(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])|\(\d{2,4}\)[ .-]?)\d{3,4}[ .-]\d{3,4}"
+    r"|[2-9]\d{2}(?:-[2-9]\d{2}-|\.[2-9]\d{2}\.| [2-9]\d{2} )\d{4})(?!-?[A-Za-z0-9])",
+    "intl": r"(?<![A-Za-z0-9+])\+(?=\d(?:[ .-]?\d){7})\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)",
     # Only at a capital letter are titles looked for.
     "person": r"(?=\p{Lu})(?<=(?<!\p{L})(?:" + _TITLE + r")\.? )" + _NAME,
 }
@@ -274,6 +280,25 @@ def entities(docs: DataFrame, text: str) -> DataFrame:
     return at.select("id", "surface", "kind", "gender", canonical(F.col("kind"), F.col("surface"), F.col("gender")).alias("canon")).distinct()
 
 
+FIXED = ("card", "iban", "ip", "phone", "ssn")
+
+
+def _moved(left: DataFrame, key: str) -> DataFrame:
+    """``kind, canon, surrogate``: each number of those left takes the next one's place, by length and check, in a keyed order.
+
+    They are few where numbers are long, and no more than there are numbers where they are
+    short. Whatever is alone of its length stays out. Others' surrogates are no entities, so
+    none of these meets one.
+    """
+    check = F.when(F.col("kind") == "card", _luhn_sum(F.col("canon"), False) % 10 == 0).otherwise(F.lit(True))
+    head = F.when(F.col("kind") == "iban", F.substring("canon", 1, 2)).otherwise("")
+    group = Window.partitionBy("kind", "head", "size", "check").orderBy(F.sha2(F.concat(F.lit(f"{key}|place|"), "canon"), 256), "canon")
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = left.filter(F.col("kind").isin(*FIXED)).select("kind", "canon", head.alias("head"), F.length("canon").alias("size"), check.alias("check"))
+    next_ = F.coalesce(F.lead("canon").over(group), F.first("canon").over(whole))
+    return placed.withColumn("surrogate", next_).filter("surrogate <> canon").select("kind", "canon", "surrogate")
+
+
 def surrogates(found: DataFrame, key: str = KEY) -> DataFrame:
     """``kind, canon, surrogate``: one for each entity, all different, none of them an entity."""
     base = F.when(F.col("kind") == "intl", "phone").otherwise(F.col("kind"))
@@ -288,15 +313,23 @@ def surrogates(found: DataFrame, key: str = KEY) -> DataFrame:
     todo = whole.filter("kind <> 'person'").unionByName(names.select(F.lit("word").alias("kind"), F.col("unit").alias("canon")).distinct())
     bare = F.when(F.col("kind") == "word", F.substring_index("canon", ":", -1)).otherwise(F.col("canon"))
     every = todo.select("kind", bare.alias("surrogate")).distinct().withColumn("taken", F.lit(True))
-    current = todo.withColumn("attempt", F.lit(0))
+    current, rounds, moved = todo.withColumn("attempt", F.lit(0)), 0, None
     while True:
         drawn = written(draw(current, key).join(every, ["kind", "surrogate"], "left"), "pii-drawn")
         place = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("attempt", "canon"))
         checked = drawn.withColumn("again", F.col("taken").isNotNull() | (place > 1))
         if checked.filter("again").isEmpty():
             break
+        rounds += 1
+        if rounds == ROUNDS:
+            moved = written(_moved(checked.filter("again"), key), "pii-moved")
+            checked = checked.join(moved.select("kind", "canon"), ["kind", "canon"], "left_anti")
+        elif rounds == 2 * ROUNDS:  # one number alone of its length, all others of which are taken: it may take an entity's
+            every = every.filter(~F.col("kind").isin(*FIXED))
         # Who drew first keeps it: an entity that draws again has a higher count than those it meets.
         current = checked.select("kind", "canon", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
+    drawn = drawn.select("kind", "canon", "surrogate")
+    drawn = drawn if moved is None else drawn.unionByName(moved)
     units = drawn.filter("kind = 'word'").select(F.col("canon").alias("unit"), "surrogate")
     new = people.join(names.join(units, "unit"), ["role", "gender", "word"])
     parts = F.transform(F.array_sort(F.collect_list(F.struct("at", "surrogate"))), lambda x: x["surrogate"])

@@ -177,6 +177,20 @@ def test_forest_recall_and_scores(spark, sf):
     assert hit / total >= 0.9
 
 
+@pytest.mark.parametrize("lengths", ["one", "mixed", "log-normal"])
+def test_forest_recall_on_vectors_of_any_length(lengths):
+    """Default blocks and share; candidates against the exact nearest by inner product."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((4000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x *= {"one": np.ones(4000), "mixed": rng.choice([0.1, 1.0, 3.0], 4000), "log-normal": np.exp(rng.standard_normal(4000))}[lengths][:, None]
+    hit = 0
+    for q, found in zip(range(0, 4000, 100), forest.Bands(x, forest.planes(64)).search(x[::100], forest.planes(64), forest.SHARE, 21)):
+        best = [i for i in np.argsort(-(x @ x[q])) if i != q][:20]
+        hit += len(set(best) & set(found.tolist()))
+    assert hit / 800 >= 0.9
+
+
 def test_forest_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, [None, 1.0]), (6, []),
@@ -345,6 +359,19 @@ def test_packing_limits_on_segments_and_loss(spark, tokenizer):
     check_packing(pieces, rows, tokenizer, limits)
 
 
+def test_packing_with_loss_spans_while_the_cache_begins_anew(spark, monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 20)
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(12)), [(0, 5)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans array<struct<start:long,end:long>>")
+    got = packing.pack(df, public_tokenizers.path("word_bpe_49k.json"), loss_spans="spans", limits=(64, 8, 20)).collect()
+    per = defaultdict(lambda: [0, 0, 0])
+    for r in got:
+        for k, n in enumerate((r.length, 1, r.loss_tokens)):
+            per[r.sequence_id][k] += n
+    assert sum(r.length for r in got) == sum({r.doc_id: r.doc_tokens for r in got}.values())
+    assert all(a <= 64 and b <= 8 and c <= 20 for a, b, c in per.values())
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.text(max_size=60), max_size=12))
 def test_words_encode_as_whole_texts(texts):
@@ -523,6 +550,25 @@ def test_surrogates_of_an_address_of_single_digits(spark):
     assert got[0].split()[1] == got[2].split()[1]
 
 
+def test_surrogates_of_all_numbers_of_a_prefix(spark):
+    """No number of this length is free within the kept prefix: they change places, and it ends."""
+    numbers = [f"+12 {n:03d} {m:03d}" for n in range(100, 110) for m in range(1000)]
+    entities = spark.createDataFrame([("phone", n.replace("+", "").replace(" ", "")) for n in numbers], "kind string, canon string")
+    entities = entities.unionByName(spark.createDataFrame([("ssn", f"{n:09d}") for n in range(50)], "kind string, canon string"))
+    got = {(r.kind, r.canon): r.surrogate for r in pii.surrogates(entities).collect()}
+    assert len(got) == 10_050 == len({(k, s) for (k, _), s in got.items()})
+    assert all(s != c and len(s) == len(c) for (_, c), s in got.items())
+
+
+def test_numbers_that_are_no_entities_stay(spark):
+    plain = "It costs 10 000 000 or 12.345.678 in 2019 2020 2021; version 1.2.3.4; v2.0.0.1 won +10500 points, 1234 5678 9012 of 3-4-5."
+    found = "Call (030) 1234 5678, +49 30 1234567, 212-555-0199 or +1 (319) 555-5132 from 8.8.8.8."
+    rows = [r.text for r in pii.pseudonymize(spark.createDataFrame([(plain,), (found,)], "text string")).collect()]
+    assert plain in rows
+    other = next(r for r in rows if r != plain)
+    assert not any(x in other for x in ("1234 5678", "1234567", "212-555-0199", "555-5132", "8.8.8.8"))
+
+
 def test_surrogates_over_the_table(spark, documents, texts, odd, empty):
     got = {r.doc_id: r.text for r in pii.pseudonymize(documents).collect()}
     any_ = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+|\b\d{1,3}(?:\.\d{1,3}){3}\b|\b\d{16}\b|\(\d{3}\) \d{3}-\d{4}")

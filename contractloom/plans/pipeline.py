@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractloom.operators import contracts, documents, flatten, reconcile, records, requests, responses
-from contractloom.sources import fixed_width, tables
+from contractloom.sources import record_store, tables
 
 
 @dataclass(frozen=True)
@@ -36,21 +36,22 @@ class Positions:
 
 
 def flatten_positions(spark: SparkSession, paths: str | list[str],
-                      limits: dict[str, int] | None = None) -> Positions:
+                      limits: dict[str, int] | None = None, store: str | None = None) -> Positions:
     """Files to records, rejects, file facts and wide rows.
 
-    Counting the occurrences is the only job that runs here, and only when
-    ``limits`` is not given.
+    The text is read once, into a store (the folder ``store``, else one in the shared folder);
+    all else reads that. Besides it, counting the occurrences is the only job that runs
+    here, and only when ``limits`` is not given.
     """
-    lines = fixed_width.scan_lines(spark, paths)
-    parsed = records.parse_records(lines)
+    kept = record_store.build(spark, paths, store)
+    lines, parsed = kept.lines(), kept.records()
     counted = limits is None
     limits = records.occurrence_limits(parsed) if counted else limits
     return Positions(
         lines=lines,
         records=parsed,
-        rejects=fixed_width.rejects(lines, fixed_width.detect_format(lines)),
-        files=fixed_width.file_metadata(lines),
+        rejects=kept.rejects(),
+        files=kept.files(),
         limits=limits,
         wide=flatten.flatten(parsed, limits, counted=counted),
         unplaced=flatten.unplaced(parsed, limits),

@@ -126,40 +126,49 @@ def _early_details(lines: DataFrame, k: int) -> DataFrame:
     )
 
 
-def file_metadata(lines: DataFrame, *, sample_details: int | None = None) -> DataFrame:
-    """One row per file: format, kind, date, line counts and counts per record type.
+def line_facts(lines: DataFrame) -> DataFrame:
+    """Add what each line says about its file: ``t``, ``verdict``, ``header_date``, ``unknown``, ``frame``."""
+    value = F.col("value")
+    typed = lines.withColumn("t", detect_record_type(value))
+    unknown = F.col("t").isNull() & (strip(value) != "")
+    return typed.select(
+        "*",
+        format_verdict(value).alias("verdict"),
+        F.when(F.col("t") == "100", field_of(value, "100", "Valuation_Date")).alias("header_date"),
+        F.coalesce(unknown, F.lit(False)).alias("unknown"),
+        F.coalesce(unknown & (value.startswith("HDR") | value.startswith("END")), F.lit(False)).alias("frame"),
+    )
 
-    Without a header the kind is told by the details: by all of them, or by the first
-    ``sample_details`` where the caller asks for that.
+
+def file_facts(said: DataFrame, early: DataFrame | None = None) -> DataFrame:
+    """One row per file from the facts of its lines (``file, line_no`` and those of ``line_facts``).
+
+    ``early`` tells which kinds are among the first details, where not all shall count.
     """
-    value, line_no, t = F.col("value"), F.col("line_no"), F.col("t")
-    typed = lines.withColumn("t", detect_record_type(value))
-    unknown = t.isNull() & (strip(value) != "")
-    frame = unknown & (value.startswith("HDR") | value.startswith("END"))
+    t, line_no, verdict = F.col("t"), F.col("line_no"), F.col("verdict")
     kind = F.when(t == "100", "POV").when(t == "400", "FAR")
-    date = field_of(value, "100", "Valuation_Date")
     counts = F.map_filter(
         F.create_map(*(c for k in LAYOUTS for c in (F.lit(k), F.count_if(t == k)))),
         lambda _, n: n > 0,
     )
-    stats = typed.groupBy("file").agg(
-        _format().alias("file_format"),
+    stats = said.groupBy("file").agg(
+        F.coalesce(F.min_by(verdict, F.when(verdict.isNotNull(), line_no)), F.lit(STANDARD)).alias("file_format"),
         F.bool_or(t.isin(*POV_DETAIL_TYPES)).alias("has_pov"),
         F.bool_or(t.isin(*FAR_DETAIL_TYPES)).alias("has_far"),
         F.max_by(kind, F.when(kind.isNotNull(), line_no)).alias("header_kind"),
-        F.max_by(date, F.when(t == "100", line_no)).alias("header_date"),
+        F.max_by("header_date", F.when(t == "100", line_no)).alias("header_date"),
         F.count("*").alias("total_lines"),
         F.count("t").alias("parsed_lines"),
         F.count_if(t.isNull()).alias("skipped_lines"),
-        F.count_if(unknown).alias("unknown"),
-        F.count_if(frame).alias("frames"),
+        F.count_if("unknown").alias("unknown"),
+        F.count_if("frame").alias("frames"),
         counts.alias("record_type_counts"),
     )
     extended = F.col("file_format") == EXTENDED
     inferred = F.when(extended & F.col("has_pov"), "POV").when(extended & F.col("has_far"), "FAR")
     named = F.when(extended, filename_date(F.col("file")))
-    if sample_details is not None:
-        stats = stats.drop("has_pov", "has_far").join(_early_details(lines, sample_details), "file", "left")
+    if early is not None:
+        stats = stats.drop("has_pov", "has_far").join(early, "file", "left")
     return stats.select(
         "file",
         F.coalesce("header_kind", inferred, F.lit("")).alias("file_type"),
@@ -173,6 +182,15 @@ def file_metadata(lines: DataFrame, *, sample_details: int | None = None) -> Dat
     )
 
 
+def file_metadata(lines: DataFrame, *, sample_details: int | None = None) -> DataFrame:
+    """One row per file: format, kind, date, line counts and counts per record type.
+
+    Without a header the kind is told by the details: by all of them, or by the first
+    ``sample_details`` where the caller asks for that.
+    """
+    return file_facts(line_facts(lines), None if sample_details is None else _early_details(lines, sample_details))
+
+
 def header_records(records: DataFrame) -> DataFrame:
     return records.filter(F.col("record_type").isin(*HEADER_TYPES))
 

@@ -860,6 +860,21 @@ oracle("run_totals", LINES, """
       (2 * o + 2 * f)::BIGINT AS skipped_lines, (2 * junk)::BIGINT AS error_count
     FROM (SELECT (SELECT count(*) FROM typed) AS t, (SELECT count(*) FROM odd) AS o,
       (SELECT count(*) FROM odd WHERE value LIKE 'XX%') AS junk, (SELECT count(DISTINCT file) FROM contracts) AS f)""")
+oracle("store_records", LINES, """
+    SELECT file[5:5] AS bucket, t AS record_type, (2 * count(*))::BIGINT AS n, count(DISTINCT contract) AS contracts,
+      (count(*) * (336 + CASE t WHEN '1305' THEN 405 ELSE 300 END))::BIGINT AS characters
+    FROM typed WHERE t IN ('1303', '1305') GROUP BY ALL""")
+oracle("store_files", LINES, """
+    SELECT file[5:5] AS bucket, 'POV' AS file_type, CASE WHEN x THEN 'extended' ELSE 'standard' END AS file_format,
+      (n + o + CASE WHEN x THEN 0 ELSE 4 END)::BIGINT AS total_lines, (n + CASE WHEN x THEN 0 ELSE 2 END)::BIGINT AS parsed_lines,
+      (o + CASE WHEN x THEN 0 ELSE 2 END)::BIGINT AS skipped_lines, junk::BIGINT AS error_count,
+      CASE WHEN x THEN '' ELSE '20260331' END AS valuation_date
+    FROM (SELECT file, count(*) AS n FROM typed GROUP BY file)
+    JOIN (SELECT file, count(o.k) AS o, count(o.k) FILTER (o.value LIKE 'XX%') AS junk
+          FROM (SELECT DISTINCT file FROM contracts) LEFT JOIN odd o USING (file) GROUP BY file) USING (file),
+      (VALUES (true), (false)) v(x)""")
+oracle("store_rejects", LINES, """
+    SELECT file[5:5] AS bucket, value[1:5] AS head, (2 * count(*))::BIGINT AS n FROM odd WHERE value LIKE 'XX%' GROUP BY ALL""")
 oracle("file_metadata_standard", LINES, """
     SELECT file, 'POV' AS file_type, 'standard' AS file_format, '20260331' AS valuation_date,
       (n + o + 4)::BIGINT AS total_lines, (n + 2)::BIGINT AS parsed_lines, (o + 2)::BIGINT AS skipped_lines,

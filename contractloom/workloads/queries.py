@@ -22,7 +22,7 @@ from contractloom.operators import (
     rules,
 )
 from contractloom.plans import pipeline
-from contractloom.sources import fixed_width, tables
+from contractloom.sources import fixed_width, record_store, tables
 from contractloom.spec.dictionary import DICTIONARY, dictionary_frame
 from contractloom.spec.layouts import layout_frame
 from contractloom.workloads import fixture
@@ -761,6 +761,35 @@ def scan_fixed_width(spark, sf):
         F.bool_and(gapless).alias("gapless"))
 
 
+@lru_cache(maxsize=16)
+def _store(spark: SparkSession, sf: str) -> record_store.RecordStore:
+    """The text files of both forms in one store."""
+    return record_store.build(spark, [f"{_line_files(spark, sf, extended=e)}/*" for e in (True, False)])
+
+
+@query
+def store_records(spark, sf):
+    """Records of two types from their partitions of the store: rows, contracts and characters of each bucket."""
+    some = _store(spark, sf).records("1303", "1305")
+    return some.groupBy(_bucket(), "record_type").agg(
+        F.count("*").alias("n"), F.countDistinct("contract").alias("contracts"), F.sum(F.length("raw")).alias("characters"))
+
+
+@query
+def store_files(spark, sf):
+    """File facts from the store, by format and bucket."""
+    return _store(spark, sf).files().groupBy(_bucket(), "file_type", "file_format").agg(
+        F.sum("total_lines").alias("total_lines"), F.sum("parsed_lines").alias("parsed_lines"),
+        F.sum("skipped_lines").alias("skipped_lines"), F.sum("error_count").alias("error_count"),
+        F.max("valuation_date").alias("valuation_date"))
+
+
+@query
+def store_rejects(spark, sf):
+    """Lines of no known type from the store, of both forms, by the start of the line."""
+    return _store(spark, sf).rejects().groupBy(_bucket(), "head").agg(F.count("*").alias("n"))
+
+
 @query
 def detect_format(spark, sf):
     out = []

@@ -1,9 +1,11 @@
 """Quality rules: compression bands.
 
-A text is compressed whole and in fixed chunks with zstandard. A ratio (bytes before to
-bytes after) above the band of its length marks repetition, one below it noise that
-does not compress, such as keys or encoded binaries. The limits depend on the length,
-because short texts hardly compress. Counts of words, symbols, repeated lines and
+A text is compressed whole and in fixed chunks with zstandard, of which the last is whatever
+is left. A ratio (bytes before to bytes after) above the band of its length marks
+repetition, one below it noise that does not compress, such as keys or encoded
+binaries. The limits depend on the length, because short texts hardly compress. A text
+is rejected by itself, or where more than ``CHUNK_SHARE`` of its bytes lie in chunks
+outside their bands. Counts of words, symbols, repeated lines and
 repeated five-word windows come with it; the base rule on them comes first.
 
 Defined results: a null text has no word and fails the base rule; so does an empty one.
@@ -32,9 +34,7 @@ WHOLE_BANDS = (
     (float("inf"), 1.42, 6.0),
 )
 CHUNK_BYTES = 4096
-CHUNK_BAND = (1.35, 4.2)
-CHUNK_SHARE = 0.25  # more than this share of chunks outside the band rejects
-MIN_CHUNKS = 2
+CHUNK_SHARE = 0.25  # more than this share of a text's bytes in chunks outside their bands rejects
 LEVEL = 3
 
 MIN_WORDS = 10
@@ -98,6 +98,11 @@ def repeated_words(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return covered
 
 
+def band(size: int) -> tuple[float, float]:
+    """The lowest and highest ratio for a length in bytes."""
+    return next((low, high) for below, low, high in WHOLE_BANDS if size < below)
+
+
 def judge(texts: list[str | None], compressor) -> dict[str, list]:
     """The metrics of some texts."""
     out: dict[str, list] = {name: [] for name, _ in METRICS}
@@ -115,16 +120,20 @@ def judge(texts: list[str | None], compressor) -> dict[str, list]:
         lines = [x for x in text.split("\n") if x.strip(" \t\v\f\r")]
         out["n_dup_lines"].append(len(lines) - len(set(lines)))
         size = len(raw)
-        low, high = next((lo, hi) for below, lo, hi in WHOLE_BANDS if size < below)
+        low, high = band(size)
         ratio = size / len(compressor.compress(raw)) if size else 0.0
-        chunks = [raw[i : i + CHUNK_BYTES] for i in range(0, size - CHUNK_BYTES + 1, CHUNK_BYTES)]
-        bad = 0
+        whole = low <= ratio <= high
+        bad = outside = 0
+        chunks = [raw[i : i + CHUNK_BYTES] for i in range(0, size, CHUNK_BYTES)] if size > CHUNK_BYTES else []
         for chunk in chunks:
-            bad += not CHUNK_BAND[0] <= len(chunk) / len(compressor.compress(chunk)) <= CHUNK_BAND[1]
+            least, most = band(min(len(chunk), CHUNK_BYTES - 1))
+            if not least <= len(chunk) / len(compressor.compress(chunk)) <= most:
+                bad += 1
+                outside += len(chunk)
         out["ratio"].append(ratio)
         out["n_chunks"].append(len(chunks))
         out["bad_chunks"].append(bad)
-        out["kept"].append(low <= ratio <= high and not (len(chunks) >= MIN_CHUNKS and bad > CHUNK_SHARE * len(chunks)))
+        out["kept"].append(whole and outside <= CHUNK_SHARE * size)
     repeats = repeated_words(np.array(ids, np.int64), np.array(lengths, np.int64))
     out["n_repeat_words"] = repeats.tolist()
     out["base_failed"] = [

@@ -146,10 +146,13 @@ def test_quality_bands(spark, odd, empty):
     vocabulary = ["".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(900)]
     prose = " ".join(rng.choice(vocabulary, 2500))
     cycle = " ".join(f"{a} {b}" for a in range(40) for b in range(120))
-    table = spark.createDataFrame([(1, noise), (2, prose), (3, cycle)], "doc_id long, text string")
+    # Half a text of noise is seen in its last chunk, also where the whole is within its band and shorter than two chunks.
+    half = prose[:4000] + " " + noise[:3000]
+    tail = prose[:4096] + " ok"
+    table = spark.createDataFrame([(1, noise), (2, prose), (3, cycle), (4, half), (5, tail)], "doc_id long, text string")
     kept = {r.doc_id: (r.base_failed, r.kept) for r in quality.score(table).collect()}
-    assert kept[1] == (False, False) and kept[2] == (False, True)
-    assert [r.doc_id for r in quality.keep(table.withColumn("kept", F.lit("x"))).collect()] == [i for i in (1, 2, 3) if kept[i][1]]
+    assert kept[1] == (False, False) and kept[2] == (False, True) and kept[4] == (False, False) and kept[5] == (False, True)
+    assert [r.doc_id for r in quality.keep(table.withColumn("kept", F.lit("x"))).collect()] == [i for i in range(1, 6) if kept[i][1]]
     assert quality.score(empty).count() == 0 and quality.keep(empty).columns == empty.columns
     assert {r.doc_id for r in quality.keep(odd).collect()} <= {None, 4, 6}
 

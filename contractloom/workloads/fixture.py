@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractloom.functions.lines import render_core, render_extended, render_extension
+from contractloom.spec.layouts import LAYOUTS
 from contractloom.workloads.shared import written
 
 # Lines a contract may take in its file: line numbers are (3k + twin) * 2^20 + place.
@@ -350,3 +351,23 @@ def response_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 103 == 0, F.concat(F.concat_ws(",", *(field(n) for n in names)), F.lit(",more")))
         .otherwise(F.concat_ws(",", *(field(n) for n in names))).alias("value")
     )
+
+
+@lru_cache(maxsize=16)
+def layout_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``file, line_no, value``: a line of every record type for each part, all data fields filled, as a written table.
+
+    Field i of type t holds the digits of md5(t|part) from place 1 + i % 16, cut to its width.
+    """
+    key, parts = F.col("p_partkey").cast("string"), table(spark, sf_dir, "part")
+
+    def rendered(n: int, t: str) -> DataFrame:
+        digits, layout = F.repeat(F.md5(F.concat(F.lit(f"{t}|"), key)), 12), LAYOUTS[t]
+        codes = {"Record_Type": F.lit(t[:2]), "Sequence_Number": F.lit(t[2:]), "Contract_Number": F.concat(F.lit("K"), key)}
+        codes = {name: value for name, value in codes.items() if any(f.name == name for f in layout.fields)}
+        values = {f.name: F.substring(digits, 1 + i % 16, f.width) for i, f in enumerate(layout.fields) if f.is_data}
+        values[layout.fields[0].name] = F.lit("P")
+        line = render_core(t, {**values, **codes}).alias("value")
+        return parts.select(F.lit("ALL.txt").alias("file"), (F.col("p_partkey").cast("bigint") * 100 + n).alias("line_no"), line)
+
+    return written(reduce(DataFrame.unionByName, (rendered(n, t) for n, t in enumerate(LAYOUTS, 1))), "layout-lines")

@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import textwrap
 
+from contractloom.operators.requests import PROTOCOL
 from contractloom.spec.dictionary import request_schema
+from contractloom.spec.layouts import LAYOUTS
 from contractloom.workloads.fixture import RESPONSE_CODES, WITHDRAWAL_TYPES
 
 RUN_TS = "2026-03-31 12:00:00"
@@ -822,6 +824,52 @@ _COLUMNS = ", ".join(
 oracle("request_table_columns", REQUESTS, f"""
     SELECT position, column_name, 'string' AS data_type, comment, (SELECT count(*) FROM requests) AS n_rows
     FROM (VALUES {_COLUMNS}) v(position, column_name, comment)""")
+_FIELDS = ", ".join(
+    f"('{t}', '{f.name}', {i}, {f.width})" for t, layout in LAYOUTS.items() for i, f in enumerate(layout.fields) if f.is_data)
+oracle("parse_all_layouts", f"""
+fields AS (SELECT * FROM (VALUES {_FIELDS}) v(record_type, field, i, width)),
+held AS (
+  SELECT record_type, field, substring(repeat(md5(record_type || '|' || p_partkey::VARCHAR), 12), 1 + i % 16, width) AS value
+  FROM fields, part
+)""", """
+    SELECT record_type, field, count(*) AS n, count(DISTINCT value) AS different, min(value) AS first_value, max(value) AS last_value
+    FROM held GROUP BY ALL""")
+_TYPES = ", ".join(f"({i}, '{t}')" for i, t in enumerate(LAYOUTS, 1) if len(t) == 4)
+oracle("occurrence_numbers", f"""{CONTRACTS}, {FIRST_ITEMS}, {ITEMS.strip()}, placed AS (
+  SELECT file, contract, '1301' AS t, place + 1 AS line_no FROM contracts
+  UNION ALL SELECT file, contract, '1301', place + 2 FROM contracts WHERE k % 50 = 0
+  UNION ALL SELECT file, contract, '1302', place + 10 FROM contracts
+  UNION ALL SELECT file, contract, '1302', place + 11 FROM contracts WHERE k % 19 = 0
+  UNION ALL SELECT file, contract, '1303', line_no FROM items
+  UNION ALL SELECT file, contract, '1305', place + 20 FROM contracts JOIN first_items ON l_orderkey = k
+  UNION ALL SELECT file, contract, '1305', place + 21 FROM contracts JOIN first_items ON l_orderkey = k WHERE k % 6 = 0
+  UNION ALL SELECT file, contract, '1309', place + 30 FROM contracts
+  UNION ALL SELECT file, contract, '1309', place + 31 FROM contracts WHERE k % 7 <> 0 AND k % 27 = 0
+  UNION ALL SELECT file, contract, '1309', place + 35 FROM contracts WHERE k % 3 = 0
+  UNION ALL SELECT file, contract, '1315', place + 50 FROM contracts
+  UNION ALL SELECT file, contract, '1315', place + 51 FROM contracts
+  UNION ALL SELECT 'ALL.txt', 'K' || p_partkey::VARCHAR, t, p_partkey * 100 + i FROM part, (VALUES {_TYPES}) v(i, t)
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY file, contract, t ORDER BY line_no) AS occ FROM placed
+)""", """
+    SELECT t AS record_type, occ, count(*) AS n, count(DISTINCT file || contract) AS contracts,
+      sum(line_no)::BIGINT AS places FROM numbered GROUP BY ALL""")
+oracle("last_header_wins", LINES, """
+    SELECT file, 'FAR' AS file_type, 'standard' AS file_format, '20260415' AS valuation_date, (count(*) + 4)::BIGINT AS parsed_lines
+    FROM typed GROUP BY file""")
+_CONSTANTS = ", ".join(f"('{c}', '{v}')" for c, v in PROTOCOL.items())
+oracle("request_constants", REQUESTS, f"""
+    SELECT column_name, value, (SELECT count(*) FROM requests) AS n FROM (VALUES {_CONSTANTS}) v(column_name, value)""")
+oracle("escape_text", """
+raw AS (
+  SELECT c_custkey, ['&', '<a>', '"', chr(39), '/', chr(92), '&amp;', chr(9) || ' ' || chr(10), ']]>', ''][(c_custkey % 10 + 1)::INT] AS sign, c_name
+  FROM customer
+), named AS (SELECT c_custkey, c_name || sign || ' x' || c_custkey::VARCHAR || sign || '.' AS v FROM raw)""", """
+    SELECT c_custkey, replace(replace(replace(v, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS element,
+      replace(replace(replace(replace(v, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS attribute,
+      replace(replace(replace(v, ' ', ''), chr(9), ''), chr(10), '') AS dense,
+      'WDQuote_' || replace(replace(v, '/', '_'), chr(92), '_') || '.xml' AS filename
+    FROM named""")
 oracle("sink_csv_order", CONTRACTS, """
     SELECT count(*) AS rows, 0 AS late, 0 AS overlapping_files FROM contracts""")
 ORACLES["sink_scorecard"] = ORACLES["scorecard"]

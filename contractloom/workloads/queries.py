@@ -24,7 +24,7 @@ from contractloom.operators import (
 from contractloom.plans import pipeline
 from contractloom.sources import fixed_width, record_store, tables
 from contractloom.spec.dictionary import DICTIONARY, dictionary_frame
-from contractloom.spec.layouts import layout_frame
+from contractloom.spec.layouts import LAYOUTS, layout_frame
 from contractloom.workloads import fixture
 from contractloom.workloads.shared import fresh_path, written
 
@@ -136,6 +136,38 @@ def parse_records(spark, sf):
     )
 
 
+@query
+def parse_all_layouts(spark, sf):
+    """Every data field of every record type: how many values, how many different ones, the first and the last."""
+    found = records.with_fields(records.parse_records(fixture.layout_lines(spark, sf)))
+    known = layout_frame(spark).filter("is_data").select("record_type", "field")
+    values = found.select("record_type", F.explode("fields").alias("field", "value"))
+    return values.join(known, ["record_type", "field"]).groupBy("record_type", "field").agg(
+        F.count("*").alias("n"), F.countDistinct("value").alias("different"),
+        F.min("value").alias("first_value"), F.max("value").alias("last_value"))
+
+
+@query
+def occurrence_numbers(spark, sf):
+    """The number of every detail record of every type, headers left out: lines and their places by type and number."""
+    lines = _lines(spark, sf).unionByName(fixture.layout_lines(spark, sf))
+    numbered = records.occurrence_number(records.parse_records(lines))
+    return numbered.groupBy("record_type", "occ").agg(
+        F.count("*").alias("n"), F.countDistinct("file", "contract").alias("contracts"), F.sum("line_no").alias("places"))
+
+
+@query
+def last_header_wins(spark, sf):
+    """Files with a second and a third header: the last one's kind and the last date count."""
+    lines = fixture.position_lines(spark, sf, extended=False)
+    header = lambda t, **f: line_fn.render_core(t, {LAYOUTS[t].fields[0].name: F.lit("P"), "Record_Type": F.lit(t[:2]), **f})
+    late = F.array(
+        F.struct(F.lit(5).cast("bigint").alias("line_no"), header("100", Valuation_Date=F.lit("20260415")).alias("value")),
+        F.struct(F.lit(1 << 61).cast("bigint").alias("line_no"), header("400").alias("value")))
+    more = lines.select("file").distinct().select("file", F.inline(late))
+    return fixed_width.file_metadata(lines.unionByName(more)).select("file", "file_type", "file_format", "valuation_date", "parsed_lines")
+
+
 @query
 def parse_rejects(spark, sf):
     lines = fixture.position_lines(spark, sf, extended=False)
@@ -362,6 +394,17 @@ def two_decimals(spark, sf):
     ).agg(F.count("*").alias("n"))
 
 
+@query
+def escape_text(spark, sf):
+    """Names with marks, quotes, blanks and slashes: as element text, as an attribute, without blanks, and as a file name."""
+    k = F.col("c_custkey")
+    sign = F.get(F.array(*(F.lit(x) for x in ("&", "<a>", '"', "'", "/", "\\", "&amp;", "\t \n", "]]>", ""))), (k % 10).cast("int"))
+    raw = F.concat("c_name", sign, F.lit(" x"), k.cast("string"), sign, F.lit("."))
+    return fixture.table(spark, sf, "customer").select(
+        k, text.xml_text(raw).alias("element"), text.xml_attribute(raw).alias("attribute"),
+        text.remove_whitespace(raw).alias("dense"), text.safe_filename(raw).alias("filename"))
+
+
 @query
 def parse_errors(spark, sf):
     found = responses.with_errors(fixture.responses(spark, sf))
@@ -483,6 +526,15 @@ def request_rows(spark, sf):
     return requests.map_requests(facts, run_ts=RUN_TS).select("file", *REQUEST_SHOWN)
 
 
+@query
+def request_constants(spark, sf):
+    """What every request says alike: each constant column, its value and the rows that have it."""
+    facts = contracts.classify(contracts.filter_active(contracts.dedup_contracts(_facts(spark, sf))))
+    mapped = requests.map_requests(facts, run_ts=RUN_TS)
+    cells = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in requests.PROTOCOL))
+    return mapped.select(F.inline(cells)).groupBy("column_name", "value").agg(F.count("*").alias("n"))
+
+
 @query
 def sync_arrangement(spark, sf):
     return _quotes(spark, sf).requests.select(

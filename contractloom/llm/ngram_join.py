@@ -13,8 +13,10 @@ How it stays small, and exact:
   hash to ``d + 1 + slack`` parts, so at least ``slack + 1`` parts are equal in both. Each part
   is hashed whole: sets that share a passage seldom share a whole part, linked ones always do.
 * A part that many sets have (a very common passage, or nothing) is left out where a set
-  has no more than ``slack`` such parts: one of the ``slack + 1`` equal ones is left then. Sets
-  with more of them show these parts to each other. So no link is lost and no bucket capped.
+  has no more than ``slack`` such parts: as many of the ``slack + 1`` equal ones are left then
+  as it has fewer. Sets with more of them show these parts to each other. A set that shares
+  fewer parts in all, and a query that shares fewer with a group, has no link there. So no
+  link is lost and no bucket capped.
 * Each bucket first tests its members against its middle, the one that shares most with
   others: a group of near copies meets there and is one component. Then only queries of
   one component against groups of another go on, one way round.
@@ -46,6 +48,7 @@ PERCENT = 85
 MANY = 64  # sets that share a part before it counts as common
 GROUP = 32
 UNION = 1 << 17
+SMALL = 1_000_000  # class numbers that are broadcast, of 8 bytes each
 QUERIES = 2000  # queries of one group that a task sees
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -74,7 +77,7 @@ def parts(s: np.ndarray, d: int, family: int) -> np.ndarray:
     at = ((s >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(np.int64)
     total = np.zeros(k, np.uint64)
     np.add.at(total, at, mix64(s ^ _C))
-    return mix64(total * _A + np.arange(1, k + 1, dtype=np.uint64) * _B + np.uint64(family + 1) * _C)
+    return mix64(total * _A + np.arange(1, k + 1, dtype=np.uint64) * _B + np.uint64(int(family + 1) * int(_C) % (1 << 64)))
 
 
 def families(n: int, edges: np.ndarray) -> list[int]:
@@ -90,7 +93,7 @@ def plain(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``row, id, h, n, d1, d2, parts``: size and digest of each set, and ``(slack, hashes)`` for each family.
+    """``row, id, h, n, d1, d2, slacks, parts``: size and digest of each set, and slack and hashes for each family.
 
     ``row`` numbers the rows; it holds once they are written.
     """
@@ -117,37 +120,46 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
                         inner.append(inner[-1] + len(hashes[-1]))
                     outer.append(len(slacks))
                 lists = pa.ListArray.from_arrays(pa.array(inner, pa.int32()), pa.array(np.concatenate(hashes).view(np.int64)))
-                both = pa.StructArray.from_arrays([pa.array(slacks, pa.int32()), lists], names=["slack", "hashes"])
+                outer = pa.array(outer, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(range(row, row + len(sets)), pa.int64()), part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(d[:, 0]), pa.array(d[:, 1]), pa.ListArray.from_arrays(pa.array(outer, pa.int32()), both),
+                        pa.array(d[:, 0]), pa.array(d[:, 1]), pa.ListArray.from_arrays(outer, pa.array(slacks, pa.int32())), pa.ListArray.from_arrays(outer, lists),
                     ],
-                    names=["row", "id", "h", "n", "d1", "d2", "parts"],
+                    names=["row", "id", "h", "n", "d1", "d2", "slacks", "parts"],
                 )
                 row += len(sets)
 
-    return plain(docs, key, text).mapInArrow(run, "row long, id long, h long, n long, d1 long, d2 long, parts array<struct<slack:int,hashes:array<bigint>>>")
+    return plain(docs, key, text).mapInArrow(run, "row long, id long, h long, n long, d1 long, d2 long, slacks array<int>, parts array<array<bigint>>")
 
 
-def buckets(classes: DataFrame) -> DataFrame:
-    """``key, c, members`` of the parts that several classes (``c, parts``) share, without the common ones that are not needed."""
-    # Slim rows, dealt once for both sides of the join: the class with its family, which is 0 or 1, as the last bit.
-    family = classes.select(F.posexplode("parts").alias("family", "p"), "c").select((F.col("c") * 2 + F.col("family")).alias("cf"), "p")
-    rows = family.select("cf", F.explode("p.hashes").alias("key")).repartition("key")
+def buckets(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key, cf, members`` of the parts that several classes (``c, slacks, parts``) share, and ``cf, needed``.
+
+    ``cf`` is a class with its family (0 or 1) as the last bit, ``needed`` how many of the rows
+    that are given a link takes.
+    """
+    def of_family(what: str) -> DataFrame:
+        return classes.select(F.posexplode(what).alias("family", "x"), "c").select((F.col("c") * 2 + F.col("family")).alias("cf"), "x")
+
+    rows = of_family("parts").select("cf", F.explode("x").alias("key")).repartition("key")  # slim rows, dealt once for both sides
     members = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     shared = written(rows.join(members, "key"), "ngram-shared")
-    common = shared.filter(F.col("members") > MANY)
-    shown = common.groupBy("cf").agg(F.count(F.lit(1)).alias("n"))
-    need = shown.join(family.select("cf", "p.slack"), "cf").filter("n > slack").select("cf")
-    left = shared.filter(F.col("members") <= MANY).unionByName(common.join(need, "cf", "left_semi"))
-    return left.select("key", F.expr("cf div 2").alias("c"), "members")
+    per = shared.groupBy("cf").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("members") > MANY).alias("common"))
+    able = per.join(of_family("slacks").withColumnRenamed("x", "slack"), "cf").filter("all > slack").select(
+        "cf", (F.col("common") > F.col("slack")).alias("shows"), F.when(F.col("common") > F.col("slack"), 1).otherwise(F.col("slack") + 1 - F.col("common")).alias("needed")
+    )
+    able = written(able, "ngram-able")
+    left = shared.join(able, "cf").filter((F.col("members") <= MANY) | F.col("shows"))
+    return written(left.select("key", "cf"), "ngram-left"), able.select("cf", "needed")
 
 
-def open_buckets(left: DataFrame) -> DataFrame:
-    """``key, c, component, members`` of the buckets that hold more than one component."""
-    keys = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"))
-    return written(left.select("key", "c", "component").join(keys.filter("lo < hi").select("key", "members"), "key"), "ngram-open")
+def open_buckets(left: DataFrame, label: DataFrame) -> DataFrame:
+    """``key, cf, c, component, members`` of the buckets (``key, cf``) that hold more than one component."""
+    rows = left.select("key", "cf", F.expr("cf div 2").alias("c")).join(label.select(F.col("id").alias("c"), "component"), "c", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "c"))
+    keys = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"))
+    return written(rows.join(keys.filter("lo < hi").select("key", "members"), "key"), "ngram-open")
 
 
 def middles(left: DataFrame) -> DataFrame:
@@ -215,10 +227,6 @@ def opened(cells: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame:
     return stream.mapInArrow(run, "a long, b long")
 
 
-def _labelled(left: DataFrame, label: DataFrame) -> DataFrame:
-    return left.select("key", "c").join(label.select(F.col("id").alias("c"), "component"), "c", "left").withColumn("component", F.coalesce("component", "c"))
-
-
 def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
     """The components after new links; components meet by their roots."""
     top = lambda c, to: label.select(F.col("id").alias(c), F.col("component").alias(to))
@@ -226,11 +234,11 @@ def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
     return components(label.select(F.col("id").alias("a"), F.col("component").alias("b")).union(new))
 
 
-def cells_of(rest: DataFrame, groups: DataFrame) -> DataFrame:
-    """``c, component, g``: queries and the groups of other components that share a part with them, one way round."""
-    held = rest.join(groups.select("c", "g"), "c")
-    held = held.groupBy("key", "g").agg(F.min("component").alias("lo"))
-    return rest.join(held, "key").filter("component > lo").select("c", "component", "g").distinct()
+def cells_of(rest: DataFrame, groups: DataFrame, needed: DataFrame) -> DataFrame:
+    """``c, component, g``: queries and the groups of other components that share enough parts with them, one way round."""
+    held = rest.join(groups.select("c", "g"), "c").groupBy("key", "g").agg(F.min("component").alias("lo"))
+    met = rest.join(held, "key").filter("component > lo").groupBy("cf", "c", "component", "g").agg(F.count(F.lit(1)).alias("n"))
+    return met.join(needed, "cf").filter("n >= needed").select("c", "component", "g").distinct()
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -244,8 +252,11 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     ties = member.groupBy("id").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a < b").select("id", "a")
     label = components(written(member.join(ties, "id").select("a", F.col("c").alias("b")).distinct(), "ngram-ties"))
 
-    reps = able.join(classes.select("c"), F.col("row") == F.col("c"))
-    left = open_buckets(_labelled(buckets(reps.select("c", "parts")), label))
+    own = classes.select("c")
+    own = F.broadcast(own) if classes.count() <= SMALL else own
+    reps = able.join(own, F.col("row") == F.col("c"))
+    shared, needed = buckets(reps.select("c", "slacks", "parts"))
+    left = open_buckets(shared, label)
     if not left.isEmpty():
         here = written(reps.select("c", F.col("id").alias("rep"), F.col("h").alias("rep_h"), "n").join(left.select("c").distinct(), "c"), "ngram-here")
         texts = plain(docs, key, text).join(here, (F.col("id") == F.col("rep")) & (F.col("h") == F.col("rep_h"))).select("c", "text")
@@ -256,10 +267,10 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
         cells = led.filter("c <> g").select("c", "component", "g")
         heads = cells.select("g").distinct().join(led.select(F.col("c").alias("g"), "component"), "g").select(F.col("g").alias("c"), "component", "g")
         label = _joined(label, written(opened(cells, heads, texts), "ngram-links"))
-        rest = open_buckets(_labelled(left, label))
+        rest = open_buckets(left, label)
         if not rest.isEmpty():
             groups = written(_groups(led, rest, here), "ngram-groups")
-            cells = written(cells_of(rest, groups), "ngram-cells")
+            cells = written(cells_of(rest, groups, needed), "ngram-cells")
             label = _joined(label, written(opened(cells, groups, texts), "ngram-links"))
 
     of_class = classes.join(label.select(F.col("id").alias("c"), "component"), "c", "left").withColumn("component", F.coalesce("component", "c"))

@@ -910,7 +910,7 @@ oracle("run_totals", LINES, """
       (SELECT count(*) FROM odd WHERE value LIKE 'XX%') AS junk, (SELECT count(DISTINCT file) FROM contracts) AS f)""")
 oracle("store_records", LINES, """
     SELECT file[5:5] AS bucket, t AS record_type, (2 * count(*))::BIGINT AS n, count(DISTINCT contract) AS contracts,
-      (count(*) * (336 + CASE t WHEN '1305' THEN 405 ELSE 300 END))::BIGINT AS characters
+      sum(336 + CASE t WHEN '1305' THEN 405 ELSE 300 END)::BIGINT AS characters
     FROM typed WHERE t IN ('1303', '1305') GROUP BY ALL""")
 oracle("store_files", LINES, """
     SELECT file[5:5] AS bucket, 'POV' AS file_type, CASE WHEN x THEN 'extended' ELSE 'standard' END AS file_format,

@@ -1,8 +1,14 @@
 """What keeps the work of a line and the files of a query small."""
 
+import os
 import re
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from contractloom.operators import contracts, records
+from contractloom.sources import fixed_width
+from contractloom.workloads import fixture, queries
 
 LINES = "file string, line_no bigint, value string"
 
@@ -24,3 +30,20 @@ def test_facts_are_cut_by_compiled_methods(spark, capsys):
     facts = contracts.facts_from_records(records.parse_records(lines))
     sizes = method_sizes(facts, capsys)
     assert sizes and max(sizes) < 8000
+
+
+def test_line_files_are_packed_and_in_order(spark, sf):
+    path = queries._line_files(spark, sf, extended=True)
+    characters = fixture.position_lines(spark, sf).agg(F.sum(F.length("value") + 1)).first()[0]
+    written = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part-")]
+    assert sum(os.path.getsize(f) for f in written) * 5 < characters
+    back = fixed_width.scan_lines(spark, f"{path}/*").withColumn("bucket", F.regexp_extract("file", "bucket=([0-9])", 1))
+    in_files = Window.partitionBy("bucket").orderBy("file", "line_no")
+    in_table = Window.partitionBy("bucket").orderBy("line_no")
+    got = back.select("bucket", F.row_number().over(in_files).alias("n"), "value")
+    want = fixture.position_lines(spark, sf).withColumn("bucket", F.substring("file", 5, 1)).select("bucket", F.row_number().over(in_table).alias("n"), "value")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_lines_are_written_once_however_they_are_asked_for(spark, sf):
+    assert fixture.position_lines(spark, sf) is fixture.position_lines(spark, sf, extended=True)

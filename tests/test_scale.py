@@ -32,6 +32,12 @@ def test_facts_are_cut_by_compiled_methods(spark, capsys):
     assert sizes and max(sizes) < 8000
 
 
+def test_amounts_are_cut_by_compiled_methods(spark, capsys):
+    lines = spark.createDataFrame([("f", 1, "P1302" + " " * 331)], LINES)
+    sizes = method_sizes(contracts.qualifier_amount(records.parse_records(lines), "RA"), capsys)
+    assert sizes and max(sizes) < 8000
+
+
 def test_line_files_are_packed_and_in_order(spark, sf):
     path = queries._line_files(spark, sf, extended=True)
     characters = fixture.position_lines(spark, sf).agg(F.sum(F.length("value") + 1)).first()[0]

@@ -40,18 +40,21 @@ class WordEncoder:
     """Ids of texts by a tokenizer that drops white space, word by word.
 
     Such a tokenizer never looks across white space, so the ids of a text are those of
-    its words in order; each distinct word is encoded once. A word of Latin letters with
-    signs behind it is one piece of letters and one of signs to the tokenizer, so the
-    letters, in small ones, are encoded once for all such words by its model alone.
+    its words in order; each distinct word of some texts is looked up once. A word of Latin
+    letters with signs behind it is one piece of letters and one of signs to the tokenizer, so
+    the letters, in small ones, are encoded once for all such words by its model alone.
+    Words are cut into the two as Arrow columns; only letters not met before are a step of Python.
     """
 
     SIGNS = ".,;:!?|#$%&*-"
+    # Latin letters whose small ones are among them; those of some capitals are not.
+    LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and max(c.lower()) < "\u0250" and len(c.lower()) == 1)
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # signs, and words that are not Latin letters with signs behind them
         self.letters: dict[str, bytes] = {}
         self.as_bytes = {}
         alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -61,50 +64,73 @@ class WordEncoder:
     def _whole(self, words: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _learn(self, new: set[str]) -> None:
-        if len(self.known) + len(new) > CACHE:
-            self.known = {}
-        if len(self.letters) > CACHE:
-            self.letters = {}
-        known, letters, tokenize = self.known, self.letters, self.tokenizer.model.tokenize
-        split, other, signs = [], [], set()
-        for w in new:
-            core = w.rstrip(self.SIGNS)
-            if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and "\u0130" not in core)):
-                split.append((w, core, w[len(core) :]))
-                if len(core) < len(w):
-                    signs.add(w[len(core) :])
-            else:
-                other.append(w)
-        signs = list(signs.difference(known))
-        known.update(zip(signs, self._whole(signs)))
-        known.update(zip(other, self._whole(other)))
-        for w, core, tail in split:
-            core = core.lower()
-            ids = letters.get(core)
-            if ids is None:
-                mapped = core if core.isascii() else core.translate(self.as_bytes)
-                ids = letters[core] = array("I", [t.id for t in tokenize(mapped)]).tobytes()
-            known[w] = ids + known[tail] if tail else ids
-
-    def size(self, word: str) -> int:
-        """The number of a word's ids, also where the cache has begun anew since it was encoded."""
-        if word not in self.known:
-            self._learn({word})
-        return len(self.known[word]) // 4
+    def _of_letters(self, cores: list[str]) -> list[bytes]:
+        """The ids of words of small Latin letters."""
+        found = list(map(self.letters.get, cores))
+        if None in found:
+            if len(self.letters) > CACHE:
+                self.letters = {}
+            letters, tokenize = self.letters, self.tokenizer.model.tokenize
+            for i, ids in enumerate(found):
+                if ids is None:
+                    core = cores[i]
+                    mapped = core if core.isascii() else core.translate(self.as_bytes)
+                    found[i] = letters[core] = array("I", [t.id for t in tokenize(mapped)]).tobytes()
+        return found
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """The ids of any words."""
+        found = list(map(self.known.get, words))
+        if None in found:
+            if len(self.known) > CACHE:
+                self.known = {}
+            new = [w for w, ids in zip(words, found) if ids is None]
+            ids = dict(zip(new, self._whole(new)))
+            self.known.update(ids)
+            found = [ids[w] if x is None else x for w, x in zip(words, found)]
+        return found
+
+    def _by_word(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts in order, the number of ids of each word, and where each text's words begin."""
+        import pyarrow.compute as pc
+
+        plain = pc.replace_substring(pc.fill_null(pa.array(texts, pa.large_string()), ""), "\n", " ")
+        split = pc.split_pattern(plain, " ")
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary
+        core, tail = pc.ascii_rtrim(words, self.SIGNS), pc.utf8_ltrim(words, self.LETTERS)
+        # Nothing but letters and signs: the two ends are the whole word.
+        simple = pc.and_(
+            pc.equal(pc.add(pc.binary_length(core), pc.binary_length(tail)), pc.binary_length(words)), pc.greater(pc.binary_length(core), 0)
+        )
+        cores, tails = pc.utf8_lower(core.filter(simple)).dictionary_encode(), tail.filter(simple).dictionary_encode()
+        pieces = [b"", *self._of_letters(cores.dictionary.to_numpy(zero_copy_only=False).tolist())]
+        first_tail = len(pieces)
+        pieces += self._of_words(tails.dictionary.to_pylist())
+        first_other = len(pieces)
+        pieces += self._of_words(words.filter(pc.invert(simple)).to_pylist())
+        # A word is two pieces: its letters and its signs, or the whole of it and nothing.
+        simple = simple.to_numpy(zero_copy_only=False)
+        of = np.zeros((len(words), 2), np.int64)
+        of[simple, 0] = 1 + cores.indices.to_numpy()
+        of[simple, 1] = first_tail + tails.indices.to_numpy()
+        of[~simple, 0] = np.arange(first_other, len(pieces))
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        begins = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join(pieces), np.uint32)
+        placed = of[coded.indices.to_numpy()].ravel()
+        n = sizes[placed]
+        ids = flat[np.repeat(begins[placed] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        return ids, n[0::2] + n[1::2], split.offsets.to_numpy()
+
+    def sizes(self, text: str) -> list[int]:
+        """The number of ids of each word of a text."""
+        return self._by_word([text])[1].tolist()
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        found = [list(map(self.known.get, words)) for words in split]
-        gaps = [i for i, f in enumerate(found) if None in f]
-        if gaps:
-            self._learn({w for i in gaps for w, x in zip(split[i], found[i]) if x is None})
-            for i in gaps:
-                found[i] = list(map(self.known.get, split[i]))
-                if None in found[i]:  # the cache began anew in between
-                    self._learn({w for w, x in zip(split[i], found[i]) if x is None})
-                    found[i] = list(map(self.known.__getitem__, split[i]))
-        return [np.frombuffer(b"".join(f), np.uint32) for f in found]
+        ids, n, begins = self._by_word(texts)
+        ends = np.concatenate([[0], np.cumsum(n)])[begins]
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
 
 class Packer:
@@ -269,8 +295,8 @@ def loss_mask(encoder: WordEncoder, text: str, spans: list[dict]) -> np.ndarray:
     for s in spans:
         inside[s["start"] : s["end"]] = True
     mask, at = [], 0
-    for word in text.replace("\n", " ").split(" "):
-        mask += [bool(inside[at])] * encoder.size(word)
+    for word, n in zip(text.replace("\n", " ").split(" "), encoder.sizes(text)):
+        mask += [bool(inside[at])] * n
         at += len(word) + 1
     return np.array([*mask, True])
 

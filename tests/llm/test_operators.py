@@ -386,6 +386,22 @@ def test_words_encode_as_whole_texts(texts):
     assert [g.tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_words_of_letters_are_looked_up_by_their_letters():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, encoder = Tokenizer.from_file(path), packing.WordEncoder(path)
+    letters = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
+    texts = [" ".join(f"{a}{b}{s}" for s in ("", ".", ",;", "--") for a, b in zip(letters, letters[7:])), "a1b. don't\n x\ty ...", "", None,
+             "\u4e2d\u6587, e\u0301t\u00e9 \u0130stanbul. \u03a3\u03a3"]
+    got = encoder.encode(texts)
+    assert [g.tolist() for g in got] == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert encoder.sizes("Ab, cde") == [len(whole.encode(w, add_special_tokens=False).ids) for w in ("Ab,", "cde")]
+    encoder.known.clear()
+    encoder.encode(["\u00c9t\u00e9, ndst. Ndst; und"])
+    assert set(encoder.known) == {"", ",", ".", ";"}
+
+
 # --- mixing -----------------------------------------------------------------------------------
 
 

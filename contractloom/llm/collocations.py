@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,52 +45,56 @@ COVERED = 50  # percent of a phrase's occurrences that lie in a longer candidate
 SMALL = 1_000_000
 STEP = 1 << 20  # words that a task merges at a time, a text at least
 HELD = 150_000  # words whose numbers or counts a task holds
-END = b"\n"  # ends a piece; no word holds it
-# A-Z to a-z, a tab to a blank, all that ends a piece to one sign.
-_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz " + END * 10)
+END = b"\xff"  # ends a piece; no byte of a text in UTF-8
+# A-Z to a-z, all that ends a piece to one sign.
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz" + END * 10)
+_SPACED = bytes.maketrans(END, b" ")
+
+
+def _plain(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass").translate(_PLAIN)
 
 
 def _words(text: str | None) -> list[bytes]:
     """The words in order, with ``END`` behind each piece."""
-    plain = (text or "").encode("utf-8", "surrogatepass").translate(_PLAIN)
-    out = [w for w in plain.replace(END, b" " + END + b" ").split(b" ") if w]
+    out = _plain(text).replace(END, b" " + END + b" ").split()
     out.append(END)
     return out
 
 
 def _number(lang: bytes, word: bytes, seed: int) -> int:
-    import xxhash
-
     return xxhash.xxh3_64_intdigest(lang + b"\0" + word, seed) or 1  # 0 ends a piece
 
 
 def vocabulary(docs: DataFrame, seed: int) -> DataFrame:
     """``w, lang, word, f`` of every word; words are counted by batch before the shuffle."""
 
-    def rows(count):
-        numbers = np.array([_number(lang, word, seed) for lang, word in count], np.uint64).view(np.int64)
+    def rows(item):
+        lang, count = item
+        key = lang.encode("utf-8", "surrogatepass")
+        numbers = np.array([_number(key, word, seed) for word in count], np.uint64).view(np.int64)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(numbers), pa.array([lang.decode("utf-8", "replace") for lang, _ in count], pa.string()),
-                pa.array([word.decode("utf-8", "replace") for _, word in count], pa.string()), pa.array(list(count.values()), pa.int64()),
+                pa.array(numbers), pa.array([key.decode("utf-8", "replace")] * len(count), pa.string()),
+                pa.array(list(count), pa.binary()).cast(pa.string()), pa.array(list(count.values()), pa.int64()),
             ],
             names=["w", "lang", "word", "n"],
         )
 
     def run(batches):
-        from collections import Counter
+        from collections import Counter, defaultdict
 
-        count: Counter = Counter()
+        count: defaultdict = defaultdict(Counter)  # by language
         for batch in (part for whole in batches for part in slices(whole, 1)):
+            texts = defaultdict(list)
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                key = lang.encode("utf-8", "surrogatepass")
-                for word, n in Counter(_words(text)).items():
-                    if word != END:
-                        count[key, word] += n
-            if len(count) > HELD:
-                yield rows(count)
-                count = Counter()
-        yield rows(count)
+                texts[lang].append(_plain(text))
+            for lang, plain in texts.items():
+                count[lang].update(b" ".join(plain).translate(_SPACED).split())
+            if sum(map(len, count.values())) > HELD:
+                yield from map(rows, count.items())
+                count = defaultdict(Counter)
+        yield from map(rows, count.items())
 
     return docs.mapInArrow(run, "w long, lang string, word string, n long").groupBy("w", "lang", "word").agg(F.sum("n").alias("f"))
 

@@ -87,3 +87,9 @@ def test_words_that_share_a_number_are_numbered_anew(spark, monkeypatch):
     assert found(spark.createDataFrame(ROWS[:2], DOCS)) == sorted(mined(ROWS[:2]))
 
 
+def test_words_are_counted_by_language_and_not_by_text(spark, monkeypatch):
+    rows = [("en", "A b. A;b\tc"), (None, "a"), ("en", "\u00c4 a\x1ca\na"), ("de", None), ("", "a \u00e4 a")]
+    docs = spark.createDataFrame(rows, "lang string, text string").fillna("und", ["lang"]).coalesce(1)
+    monkeypatch.setattr(collocations, "_words", None)
+    got = {(r.lang, r.word): r.f for r in collocations.vocabulary(docs, 0).collect()}
+    assert got == {("en", "a"): 3, ("en", "b"): 2, ("en", "c"): 1, ("en", "\u00c4"): 1, ("en", "a\x1ca"): 1, ("und", "a"): 1, ("", "a"): 2, ("", "\u00e4"): 1}

@@ -6,7 +6,7 @@ import re
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from contractloom.operators import contracts, records
+from contractloom.operators import contracts, reconcile, records
 from contractloom.sources import fixed_width
 from contractloom.workloads import fixture, queries
 
@@ -53,3 +53,20 @@ def test_line_files_are_packed_and_in_order(spark, sf):
 
 def test_lines_are_written_once_however_they_are_asked_for(spark, sf):
     assert fixture.position_lines(spark, sf) is fixture.position_lines(spark, sf, extended=True)
+
+
+def test_missing_contracts_are_found_without_a_broadcast(spark, capsys):
+    """The keys of the wide table are as many as the contracts, however few of its bytes they are."""
+    rows = [("f", "C1", "1301"), ("f", "C1", "1302"), ("f", "C1", "1302"), ("f", "C2", "1301"), ("g", "C1", "1301"), (None, "C3", "1301"), ("f", "", "100")]
+    parsed = spark.createDataFrame(rows, "file string, contract string, record_type string")
+    wide = spark.createDataFrame([("f", "C1 ", ""), ("f", "C1", ""), (None, "C3", ""), ("f", "C9", ""), ("g", None, "")],
+                                 "file string, Contract_Number string, `1301_CUSIP_Number` string")
+    lost = reconcile.missing_contracts(parsed, wide)
+    types = reconcile.missing_record_types(parsed, wide, {"1301": 1, "1302": 1})
+    assert sorted(map(tuple, lost.collect()), key=str) == [("f", "C2"), ("g", "C1"), (None, "C3")]
+    assert sorted(map(tuple, types.collect()), key=str) == [
+        ("f", "C1", "1302"), ("f", "C2", "1301"), ("g", "C1", "1301"), (None, "C3", "1301")]
+    capsys.readouterr()
+    for df in (lost, types):
+        df.explain()
+        assert "Join" not in capsys.readouterr().out

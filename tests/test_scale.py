@@ -6,7 +6,7 @@ import re
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from contractloom.operators import contracts, reconcile, records
+from contractloom.operators import contracts, flatten, reconcile, records
 from contractloom.sources import fixed_width
 from contractloom.workloads import fixture, queries
 
@@ -70,3 +70,10 @@ def test_missing_contracts_are_found_without_a_broadcast(spark, capsys):
     for df in (lost, types):
         df.explain()
         assert "Join" not in capsys.readouterr().out
+
+
+def test_occurrences_are_counted_once_for_parts_of_the_records(spark, sf, monkeypatch):
+    queries._limits(spark, sf)
+    monkeypatch.setattr(flatten, "occurrence_limits", None)
+    n = queries._records(spark, sf).select("file", "contract").filter("contract is not null").distinct().count()
+    assert queries.union_files(spark, sf).count() == 2 * n

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from contractloom.operators import contracts, flatten, reconcile, records
 from contractloom.sources import fixed_width
+from contractloom.spec.layouts import LAYOUTS
 from contractloom.workloads import fixture, queries
 
 LINES = "file string, line_no bigint, value string"
@@ -77,3 +78,42 @@ def test_occurrences_are_counted_once_for_parts_of_the_records(spark, sf, monkey
     monkeypatch.setattr(flatten, "occurrence_limits", None)
     n = queries._records(spark, sf).select("file", "contract").filter("contract is not null").distinct().count()
     assert queries.union_files(spark, sf).count() == 2 * n
+
+
+def test_lines_of_contracts_are_dealt_once_to_be_reconciled(spark, capsys):
+    """One shuffle of the lines for their numbers and for the wide row they meet, and no unpivoted slots."""
+    lines = spark.createDataFrame([("f", i, f"P1303{' ' * 295}") for i in range(3)], LINES)
+    parsed = records.parse_records(lines)
+    limits = {"1301": 1, "1303": 3}
+    wide = flatten.flatten(parsed, limits, counted=True)
+    wide = spark.createDataFrame(wide.collect(), wide.schema)
+    capsys.readouterr()
+    reconcile.mismatches(parsed, wide, limits).explain()
+    plan = capsys.readouterr().out
+    assert "inline(" not in plan and "record_type#" in plan
+    assert plan.count("REPARTITION_BY_COL") == 1 and "file#" in plan.split("REPARTITION_BY_COL")[0].rsplit("hashpartitioning(", 1)[1]
+    assert not [p for p in re.findall(r"hashpartitioning\(([^)]*)\)", plan) if "slot#" in p]
+
+
+def test_reconciliation_of_empty_odd_and_stray_slots(spark):
+    """Empty slots, slots beyond the wide row, types it does not know, lines without a contract, null and repeated keys."""
+    def line(t, contract, value=""):
+        spans = {f.name: f for f in LAYOUTS[t].fields}
+        text = [" "] * 300
+        for at, v in ((1, "P" + t), (spans["Contract_Number"].start, contract), (LAYOUTS[t].data_fields[0].start, value)):
+            text[at - 1:at - 1 + len(v)] = v
+        return "".join(text)
+
+    rows = [("f", "1303", "A", "X"), ("f", "1303", "A", ""), ("f", "1303", "A", "Y"), ("f", "1305", "A", ""), ("f", "1301", "B", "Z"),
+            ("f", "1303", "", "S1"), ("f", "1303", "", "S2"), ("f", "1303", "", "S3"), (None, "1303", "A", "N")]
+    lines = spark.createDataFrame([(f, i, line(t, c, v)) for i, (f, t, c, v) in enumerate(rows)], LINES)
+    parsed, first = records.parse_records(lines), LAYOUTS["1303"].data_fields[0].name
+    wide = spark.createDataFrame(
+        [("f", "A ", " X ", None), ("f", "A", "", "W"), ("f", records.NO_CONTRACT, "S1", "S2"), (None, "A", "N", "")],
+        f"file string, Contract_Number string, `1303_{first}_1` string, `1303_{first}_2` string")
+    limits = {"1301": 1, "1303": 2}
+    got = sorted((r["contract_number"], r["line_no"], r["field_name"], r["expected"], r["actual"]) for r in reconcile.mismatches(parsed, wide, limits).collect())
+    assert got == [("A", 0, first, "X", ""), ("A", 1, first, "", "W")]
+    report = reconcile.report(parsed, wide, limits).first()
+    assert (report["mismatch_count"], report["unplaced_records"]) == (2, 1)
+    assert report["total_fields_checked"] == 6 * len(LAYOUTS["1303"].data_fields)

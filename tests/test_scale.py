@@ -6,7 +6,9 @@ import re
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from contractloom.functions import text
 from contractloom.operators import contracts, flatten, reconcile, records
+from contractloom.plans import pipeline
 from contractloom.sources import fixed_width
 from contractloom.spec.layouts import LAYOUTS
 from contractloom.workloads import fixture, queries
@@ -39,6 +41,22 @@ def test_amounts_are_cut_by_compiled_methods(spark, capsys):
     assert sizes and max(sizes) < 8000
 
 
+def test_requests_are_mapped_and_audited_by_compiled_methods(spark, capsys):
+    lines = spark.createDataFrame([("f", 1, "P1301" + " " * 331)], LINES)
+    facts = contracts.facts_from_records(records.parse_records(lines))
+    for distributor in (None, "0015"):
+        audited = pipeline.quote_requests(facts, run_ts=queries.RUN_TS, distributor=distributor).validation
+        sizes = method_sizes(audited, capsys)
+        assert sizes and max(sizes) < 8000
+
+
+def test_ends_of_short_texts(spark):
+    texts = ["", "1", "12x", "1-2-3", "1234", "12345", "ab", "é1", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", text.last4(F.col("t")), text.strip_suffix(F.col("t")))
+    assert [tuple(r)[1:] for r in rows.orderBy("i").collect()] == [
+        ("", ""), ("1", "1"), ("12", "12x"), ("123", "1-2-3"), ("1234", "1234"), ("2345", "12345"), ("", "ab"), ("1", "é1"), ("", None)]
+
+
 def test_line_files_are_packed_and_in_order(spark, sf):
     path = queries._line_files(spark, sf, extended=True)
     characters = fixture.position_lines(spark, sf).agg(F.sum(F.length("value") + 1)).first()[0]
@@ -99,10 +117,10 @@ def test_reconciliation_of_empty_odd_and_stray_slots(spark):
     """Empty slots, slots beyond the wide row, types it does not know, lines without a contract, null and repeated keys."""
     def line(t, contract, value=""):
         spans = {f.name: f for f in LAYOUTS[t].fields}
-        text = [" "] * 300
+        cells = [" "] * 300
         for at, v in ((1, "P" + t), (spans["Contract_Number"].start, contract), (LAYOUTS[t].data_fields[0].start, value)):
-            text[at - 1:at - 1 + len(v)] = v
-        return "".join(text)
+            cells[at - 1:at - 1 + len(v)] = v
+        return "".join(cells)
 
     rows = [("f", "1303", "A", "X"), ("f", "1303", "A", ""), ("f", "1303", "A", "Y"), ("f", "1305", "A", ""), ("f", "1301", "B", "Z"),
             ("f", "1303", "", "S1"), ("f", "1303", "", "S2"), ("f", "1303", "", "S3"), (None, "1303", "A", "N")]

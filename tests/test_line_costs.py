@@ -57,3 +57,10 @@ def test_facts_of_non_ascii_lines_sorted_by_contract(spark):
     for df in (facts, by_id):
         sorts = [x for x in plan(df).split("== Physical Plan ==")[1].splitlines() if "Sort [" in x]
         assert sorts and all("Sort [contract#" in x for x in sorts)
+
+
+def test_written_tables_are_small(spark):
+    table = written(spark.range(10), "small")
+    files = table.inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert glob.glob(os.path.join(shared_folder(spark), "small-*"))

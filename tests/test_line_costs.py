@@ -59,6 +59,14 @@ def test_facts_of_non_ascii_lines_sorted_by_contract(spark):
         assert sorts and all("Sort [contract#" in x for x in sorts)
 
 
+def test_cells_of_the_wide_row_by_bytes_and_by_characters(spark):
+    rows = [("f", i, line("1301", Contract_Number=f"C{i}", CUSIP_Number=c, Contract_State="09")) for i, c in enumerate(("AB", "é9"))]
+    wide = flatten.flatten(records.parse_records(spark.createDataFrame(rows, LINES)))
+    cells = wide.select("Contract_Number", F.col("1301_CUSIP_Number"), F.col("1301_Contract_State"))
+    assert sorted(tuple(r) for r in cells.collect()) == [("C0", "AB", "09"), ("C1", "é9", "09")]
+    assert "as binary" in plan(wide).lower()
+
+
 def test_written_tables_are_small(spark):
     table = written(spark.range(10), "small")
     files = table.inputFiles()

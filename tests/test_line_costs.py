@@ -72,3 +72,8 @@ def test_written_tables_are_small(spark):
     files = table.inputFiles()
     assert files and all(f.endswith(".zstd.parquet") for f in files)
     assert glob.glob(os.path.join(shared_folder(spark), "small-*"))
+
+
+def test_values_of_a_layout_field_are_dealt_by_value(spark, sf):
+    text = plan(queries.QUERIES["parse_all_layouts"](spark, sf)).split("== Physical Plan ==")[1]
+    assert "hashpartitioning(place" in text and "hashpartitioning(record_type" not in text

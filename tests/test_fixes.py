@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from contractloom.operators import contracts, documents, requests, responses
+from contractloom.workloads import queries
 
 XML = '<Envelope xmlns="http://www.w3.org/2003/05/soap-envelope"><Body/></Envelope>'
 
@@ -46,3 +47,14 @@ def test_responses_are_read_by_name(spark, tmp_path):
     (tmp_path / "r.csv").write_text('Status,Policy_Number,Other\nFailure,0012,x\nSuccess,"a ""b""",y\n')
     rows = responses.read_responses(spark, str(tmp_path)).orderBy("Status").collect()
     assert [(r["Policy_Number"], r["Status"], r["Result_code"]) for r in rows] == [("0012", "Failure", None), ('a "b"', "Success", None)]
+
+
+def test_enhanced_scorecard_is_whole(spark, sf):
+    """Every column of the scorecard is in the result, so that none of its lists is left out."""
+    made = queries.enhanced_scorecard(spark, sf)
+    want = ["PolNumber", "FileName", "Status", "ErrorDetails", "MatchedFields", "MatchedCount", "MissingFields", "MissingCount",
+            "CustomFields", "CustomCount", "ConformancePct", "Timestamp"]
+    assert made.columns == want
+    for r in made.limit(5).collect():
+        assert len(r["MatchedFields"].split("; ")) == int(r["MatchedCount"]) and len(r["MissingFields"].split("; ")) == int(r["MissingCount"])
+        assert (r["ErrorDetails"] is None) == (r["Status"] == "PASS") and r["Timestamp"] == queries.RUN_TS

@@ -135,3 +135,35 @@ def test_reconciliation_of_empty_odd_and_stray_slots(spark):
     report = reconcile.report(parsed, wide, limits).first()
     assert (report["mismatch_count"], report["unplaced_records"]) == (2, 1)
     assert report["total_fields_checked"] == 6 * len(LAYOUTS["1303"].data_fields)
+
+
+def test_a_line_is_compared_at_once_and_by_fields_where_it_differs(spark):
+    """Cells travel as one text filled up to the widths; long, short, odd and indented ones are compared as before."""
+    fields = LAYOUTS["1303"].data_fields
+    a, b, last = fields[0], fields[1], fields[-1]
+
+    def line(contract, values):
+        cells = [" "] * 300
+        for f, v in {LAYOUTS["1303"].field("Contract_Number"): contract, **values}.items():
+            cells[f.start - 1:f.start - 1 + f.width] = v.ljust(f.width)
+        cells[:5] = "P1303"
+        return "".join(cells)
+
+    rows = {"A": ({a: "X", last: "Z"}, {a: "X", last: "Z"}, []),
+            "B": ({a: "  X"}, {a: "X"}, []),  # not at the left of its field
+            "C": ({a: "é", b: "\tY"}, {a: " é", b: "Y "}, []),
+            "D": ({a: "X"}, {a: "X" * (a.width + 1)}, [(a.name, "X", "X" * (a.width + 1))]),
+            "E": ({a: "X" * a.width}, {a: "X" * a.width + "\t", b: ""}, []),
+            "F": ({b: "Y"}, {a: "Y"}, [(a.name, "", "Y"), (b.name, "Y", "")]),
+            "G": ({}, {a: None, b: " "}, [])}
+    lines = spark.createDataFrame([("f", i, line(c, said)) for i, (c, (said, *_)) in enumerate(rows.items())] + [("f", 9, line("H", {a: "X"}).rstrip())], LINES)
+    wide = spark.createDataFrame(
+        [("f", c, *(shown.get(f, "") for f in fields)) for c, (_, shown, _) in rows.items()] + [("f", "H", "X", *[""] * (len(fields) - 1))],
+        "file string, Contract_Number string, " + ", ".join(f"`1303_{f.name}` string" for f in fields))
+    packed = {r["contract"]: r["packed"][0][0] for r in reconcile.packed_rows(wide, {"1303": 1}).collect()}
+    assert packed["A"]["part"] == line("", {a: "X", last: "Z"})[a.start - 1:a.start - 1 + 140] + line("", {last: "Z"})[288:].rstrip()
+    assert packed["G"]["part"] == "" and packed["A"]["list"] is None and packed["D"]["part"] is None and packed["D"]["list"][0] == "X" * (a.width + 1)
+    found = reconcile.mismatches(records.parse_records(lines), wide, {"1303": 1}).collect()
+    assert sorted((r["contract_number"], r["field_name"], r["expected"], r["actual"]) for r in found) == sorted(
+        (c, *d) for c, (_, _, different) in rows.items() for d in different)
+    assert reconcile.report(records.parse_records(lines), wide, {"1303": 1}).first()["total_fields_checked"] == 8 * len(fields)

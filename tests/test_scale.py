@@ -7,9 +7,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from contractloom.functions import text
-from contractloom.operators import contracts, flatten, reconcile, records
+from contractloom.operators import contracts, documents, flatten, reconcile, records, rules
 from contractloom.plans import pipeline
-from contractloom.sources import fixed_width
+from contractloom.sources import fixed_width, shared, tables
 from contractloom.spec.layouts import LAYOUTS
 from contractloom.workloads import fixture, queries
 
@@ -167,3 +167,37 @@ def test_a_line_is_compared_at_once_and_by_fields_where_it_differs(spark):
     assert sorted((r["contract_number"], r["field_name"], r["expected"], r["actual"]) for r in found) == sorted(
         (c, *d) for c, (_, _, different) in rows.items() for d in different)
     assert reconcile.report(records.parse_records(lines), wide, {"1303": 1}).first()["total_fields_checked"] == 8 * len(fields)
+
+
+def test_lists_of_errors_are_made_by_compiled_code(spark, capsys):
+    """A lambda over the list of errors would have every rule worked out without compiling it."""
+    rows = spark.createDataFrame([(1, "a", None, "c"), (2, None, None, None), (3, "a", "", "a")], "i int, x string, y string, z string")
+    items = [F.col(c) for c in "xyz"]
+    got = rows.select("i", text.those_present(items).alias("new"), F.array_compact(F.array(*items)).alias("old"), text.those_present([]).alias("none"))
+    assert [(r["new"], r["none"]) for r in got.orderBy("i").collect()] == [(r["old"], []) for r in got.orderBy("i").collect()]
+    requests = spark.createDataFrame([], tables.request_schema())
+    capsys.readouterr()
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        rules.apply_rules(requests).explain()
+        documents.validate_documents(spark.createDataFrame([], "xml string")).select("errors").explain()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    plan = capsys.readouterr().out
+    assert "flatten(" in plan and "isnotnull(lambda" not in plan
+    assert plan.count("trim(TransExeDate#") == 1  # a value is stripped in one place, however many rules look at it
+
+
+def test_parties_with_a_null_among_them(spark):
+    docs = spark.createDataFrame([(True, ["Party_Agent", None], None), (True, None, []), (False, [], [])],
+                                 "olife boolean, parties array<string>, relations array<string>").select(F.struct("*").alias("doc"))
+    errors = docs.select(text.those_present(documents.presence_errors(F.col("doc"))).alias("e")).collect()
+    assert [len(r["e"]) for r in errors] == [3, 4, 1] and errors[2]["e"] == ["OLifE element not found"]
+
+
+def test_written_tables_have_no_file_of_many_rows(spark, monkeypatch):
+    """A file of one row group is one task's work, whatever its lines compress to."""
+    monkeypatch.setattr(shared, "ROWS_PER_FILE", 10)
+    back = shared.written(spark.range(95).repartition(1), "rows")
+    sizes = [r["count"] for r in back.groupBy(F.col("_metadata.file_path").alias("f")).count().collect()]
+    assert max(sizes) == 10 and sum(sizes) == 95

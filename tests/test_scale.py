@@ -201,3 +201,38 @@ def test_written_tables_have_no_file_of_many_rows(spark, monkeypatch):
     back = shared.written(spark.range(95).repartition(1), "rows")
     sizes = [r["count"] for r in back.groupBy(F.col("_metadata.file_path").alias("f")).count().collect()]
     assert max(sizes) == 10 and sum(sizes) == 95
+
+
+def test_lines_are_not_shuffled_for_their_numbers(spark, tmp_path, capsys):
+    (tmp_path / "a.txt").write_text("x\ny\nz\n")
+    (tmp_path / "b.txt").write_text("u\n")
+    scanned = fixed_width.scan_lines(spark, str(tmp_path))
+    capsys.readouterr()
+    scanned.explain()
+    assert "Exchange hashpartitioning" not in capsys.readouterr().out
+    assert sorted((r["file"][-5:], r["line_no"], r["value"]) for r in scanned.collect()) == [
+        ("a.txt", 1, "x"), ("a.txt", 2, "y"), ("a.txt", 3, "z"), ("b.txt", 1, "u")]
+
+
+def test_documents_stores_and_request_files_are_compressed(spark, sf, tmp_path):
+    """Documents of one layout and lines full of blanks take a fraction of their characters."""
+    texts = spark.range(2000).select(F.concat(F.lit("<a>" + "some tag of every document " * 40), F.md5(F.col("id").cast("string"))).alias("xml"),
+                                     F.lit("success").alias("outcome"))
+    tables.write_by_outcome(texts, str(tmp_path / "out"), run_id="r")
+    names = [os.path.join(d, f) for d, _, fs in os.walk(tmp_path / "out") for f in fs if f.endswith(".parquet")]
+    assert names and all(".zstd." in n for n in names)
+    folder = queries._store(spark, sf).folder
+    assert all(".zstd." in f for _, _, fs in os.walk(f"{folder}/lines") for f in fs if f.endswith(".parquet"))
+    assert all(f.endswith(".csv.gz") for f in os.listdir(queries._request_csv(spark, sf)) if f.startswith("part-"))
+    path = tables.write_csv(texts.limit(3), str(tmp_path / "plain"))
+    assert all(f.endswith(".csv") for f in os.listdir(path) if f.startswith("part-"))
+
+
+def test_tables_dealt_already_are_not_shuffled_again_to_be_written(spark, sf, monkeypatch):
+    """Requests come dealt by contract and verdicts in the files of their requests."""
+    spread = []
+    monkeypatch.setattr(queries, "written", lambda df, name, by=None, **kw: spread.append((name, by)) or shared.written(df, name, by, **kw))
+    queries._broken.__wrapped__(spark, sf)
+    queries._checked.__wrapped__(spark, sf)
+    queries.reconcile_stray_report(spark, sf)
+    assert spread == [("requests", None), ("checked", None), ("stray-wide", None)]

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from contractloom.operators import contracts, documents, requests, responses
-from contractloom.workloads import queries
+from contractloom.workloads import fixture, queries
 
 XML = '<Envelope xmlns="http://www.w3.org/2003/05/soap-envelope"><Body/></Envelope>'
 
@@ -58,3 +58,14 @@ def test_enhanced_scorecard_is_whole(spark, sf):
     for r in made.limit(5).collect():
         assert len(r["MatchedFields"].split("; ")) == int(r["MatchedCount"]) and len(r["MissingFields"].split("; ")) == int(r["MissingCount"])
         assert (r["ErrorDetails"] is None) == (r["Status"] == "PASS") and r["Timestamp"] == queries.RUN_TS
+
+
+def test_places_are_summed_beyond_64_bits(spark, monkeypatch):
+    lines = spark.createDataFrame([("f", (1 << 62) + i, f"P1303{' ' * 31}{i}") for i in range(9)], "file string, line_no bigint, value string")
+    monkeypatch.setattr(fixture, "layout_lines", lambda spark, sf: lines.filter("line_no < 0"))
+    headers = lines.select("file", "line_no", F.lit("P1301" + " " * 295).alias("value"))
+    for given in (lines, headers):
+        one = given.withColumn("file", F.col("line_no").cast("string"))  # the first of its contract in each file
+        monkeypatch.setattr(queries, "_lines", lambda spark, sf, one=one: one)
+        got = queries.occurrence_numbers(spark, "").collect()
+        assert [(r["occ"], r["n"], int(r["places"])) for r in got] == [(1, 9, 9 * (1 << 62) + 36)]

@@ -201,6 +201,8 @@ def test_written_tables_have_no_file_of_many_rows(spark, monkeypatch):
     back = shared.written(spark.range(95).repartition(1), "rows")
     sizes = [r["count"] for r in back.groupBy(F.col("_metadata.file_path").alias("f")).count().collect()]
     assert max(sizes) == 10 and sum(sizes) == 95
+    back = shared.written(spark.range(20).repartition(1).select("id", *(F.lit(i).alias(f"c{i}") for i in range(400))), "wide-rows")
+    assert back.select("_metadata.file_path").distinct().count() == 10  # fewer of wider rows
 
 
 def test_lines_are_not_shuffled_for_their_numbers(spark, tmp_path, capsys):
@@ -236,3 +238,9 @@ def test_tables_dealt_already_are_not_shuffled_again_to_be_written(spark, sf, mo
     queries._checked.__wrapped__(spark, sf)
     queries.reconcile_stray_report(spark, sf)
     assert spread == [("requests", None), ("checked", None), ("stray-wide", None)]
+
+
+def test_requests_are_dealt_to_several_tasks_a_core_to_be_made_documents(spark, sf, capsys):
+    capsys.readouterr()
+    queries.scorecard(spark, sf).explain()
+    assert f", {4 * spark.sparkContext.defaultParallelism}), REPARTITION_BY_NUM" in capsys.readouterr().out
